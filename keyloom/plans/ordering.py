@@ -27,7 +27,7 @@ ROWS_PER_RANGE = 1_000_000
 SAMPLE_PER_RANGE = 24
 _SMALL_RANGE_ROWS = 2_000
 _RANGES_PER_PARTITION = 4
-_TREE_BORDERS = 64
+_TREE_BORDERS = 63
 
 _BUCKET = "__range"
 
@@ -146,6 +146,13 @@ def _key_values(c: str, dtype: T.DataType) -> Column:
     return F.unix_micros(c).alias(c) if isinstance(dtype, T.TimestampType) else F.col(c)
 
 
+def borders_of(keys: DataFrame, order: Order) -> KeyRanges:
+    """Every row of a small key frame as a border."""
+    types = tuple(keys.schema[c].dataType for c, _ in order)
+    ordered = keys.orderBy(*sort_columns(order)).select(*[_key_values(c, t) for (c, _), t in zip(order, types)])
+    return KeyRanges(order, types, tuple(tuple(r) for r in ordered.collect()))
+
+
 def sample_ranges(df: DataFrame, order: Order, ranges: int | None = None) -> KeyRanges:
     """Cut ``order`` into ranges of about equal row count.
 
