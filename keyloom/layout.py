@@ -76,7 +76,7 @@ class Field:
 class Segment:
     column: str
     descending: bool = False
-    attrs: int = 0
+    attrs: int | None = None  # None: not declared
     null_byte: int = 0
 
 
@@ -109,8 +109,8 @@ class KeySpec:
 
     @property
     def unique(self) -> bool:
-        """No segment carries the duplicates bit."""
-        return not any(s.attrs & ATTR_DUPLICATES for s in self.segments)
+        """No segment carries the duplicates bit; undeclared attributes allow duplicates."""
+        return all(s.attrs is not None and not s.attrs & ATTR_DUPLICATES for s in self.segments)
 
 
 def as_key(key: "KeySpec | str | Sequence[str]") -> KeySpec:

@@ -10,6 +10,7 @@ from keyloom.functions.codec import extract_ranges
 from keyloom.functions.predicates import Term, key_order, where_terms
 from keyloom.layout import KeySpec
 from keyloom.operators.joins import direct_join
+from keyloom.plans.lineage import cut
 from keyloom.plans.ordering import row_numbers
 
 # Rows of a filtered step that names no limit, and its upper bound.
@@ -72,7 +73,7 @@ def assign_recnum(
     """
     if order is not None:
         return row_numbers(df, key_order(order), name, start=start, ranges=ranges)
-    arrived = df.withColumn("__arrival", F.monotonically_increasing_id()).checkpoint()
+    arrived = cut(df.withColumn("__arrival", F.monotonically_increasing_id()))
     return row_numbers(arrived, [("__arrival", False)], name, start=start, ranges=ranges).drop("__arrival")
 
 

@@ -296,10 +296,15 @@ def exists_semi(spark, sf):
     return keyed.key_exists(probes, orders(spark, sf), ["o_custkey"], ["c_custkey"], "semi")
 
 
-@S.add("key_exists_anti", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@S.add(
+    "key_exists_anti",
+    """SELECT c_custkey FROM customer WHERE c_custkey NOT IN
+    (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')""",
+)
 def exists_anti(spark, sf):
     probes = table(spark, sf, "customer").select("c_custkey")
-    return keyed.key_exists(probes, orders(spark, sf), ["o_custkey"], ["c_custkey"], "anti")
+    urgent = orders(spark, sf).where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
+    return keyed.key_exists(probes, urgent, ["o_custkey"], ["c_custkey"], "anti")
 
 
 def _keys_only(name, fn, cond, sql_order):
