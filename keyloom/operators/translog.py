@@ -64,41 +64,61 @@ def resolve_changes(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return changes, markers
 
 
-def apply_log(state: DataFrame, log: DataFrame, recnum: str = "recnum") -> tuple[DataFrame, DataFrame]:
-    """Replay ``(seq, session, op, <record number>, columns...)`` onto a state.
+def judge_changes(known: DataFrame, live: DataFrame, recnum: str = "recnum") -> DataFrame:
+    """Changes with ``status``: an insert on an existing record 5, an update or delete of a missing one 8.
 
-    Changes outside transactions and in committed ones count, in ``seq`` order; those of
-    aborted and still open ones do not.  An insert on an existing record reports 5, an update
-    or delete of a missing one reports 8.  The state is read once and only rewritten where
-    the log touched it.  Returns the new state and one report row per log row.
+    Of ``known`` only the record numbers are read.
     """
-    changes, markers = resolve_changes(log)
-    changes = cut(changes)
-    live = changes.where("outcome IN ('plain', 'committed')")
     order = [(recnum, False), ("seq", False)]
     # an update leaves existence as it was, so only the last insert or delete decides
     seen = with_carried(
         live, order, F.col("op") != UPDATE, {"__last": F.col("op")}, [recnum], inclusive=False
     )
-    seen = _flag(seen, matching_rows(state, live, [recnum]), [recnum], "__in_state")
+    seen = _flag(seen, matching_rows(known, live, [recnum]), [recnum], "__in_state")
     exists = F.when(F.col("__last").isNull(), F.col("__in_state")).otherwise(F.col("__last") == INSERT)
     status = (
         F.when((F.col("op") == INSERT) & exists, F.lit(DUPLICATE_KEY))
         .when((F.col("op") != INSERT) & ~exists, F.lit(INVALID_POSITION))
         .otherwise(F.lit(OK))
     )
-    judged = cut(seen.withColumn("status", status).drop("__last", "__in_state"))
+    return seen.withColumn("status", status).drop("__last", "__in_state")
+
 
+def last_changes(judged: DataFrame, recnum: str = "recnum") -> DataFrame:
+    """The last accepted change of every record; each map task keeps one row per record."""
     w = Window.partitionBy(recnum).orderBy(F.col("seq").desc())
-    last = (
-        judged.where(F.col("status") == OK).withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1)
-    )
+    accepted = judged.where(F.col("status") == OK)
+    return accepted.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n")
+
+
+def overlay(state: DataFrame, last: DataFrame, recnum: str = "recnum") -> DataFrame:
+    """The state with the last change of every record on top; records without one pass through."""
     kept = state.join(last.select(recnum), recnum, "left_anti").select(*state.columns)
-    new = last.where(F.col("op") != DELETE).select(*state.columns)
+    return kept.unionByName(last.where(F.col("op") != DELETE).select(*state.columns))
+
+
+def replay(state: DataFrame, live: DataFrame, recnum: str = "recnum") -> tuple[DataFrame, DataFrame]:
+    """Apply changes in ``seq`` order; returns the new state and the changes with their ``status``."""
+    judged = cut(judge_changes(state, live, recnum))
+    return overlay(state, last_changes(judged, recnum), recnum), judged
+
+
+LIVE = "outcome IN ('plain', 'committed')"
+
+
+def apply_log(state: DataFrame, log: DataFrame, recnum: str = "recnum") -> tuple[DataFrame, DataFrame]:
+    """Replay ``(seq, session, op, <record number>, columns...)`` onto a state.
+
+    Changes outside transactions and in committed ones count, in ``seq`` order; those of
+    aborted and still open ones do not.  Returns the new state and one report row per log row.
+    """
+    changes, markers = resolve_changes(log)
+    changes = cut(changes)
+    new_state, judged = replay(state, changes.where(LIVE), recnum)
     report = (
         judged.select("seq", "session", "op", F.col("outcome"), "status")
-        .unionByName(changes.where("outcome NOT IN ('plain', 'committed')").select(
+        .unionByName(changes.where(f"NOT ({LIVE})").select(
             "seq", "session", "op", "outcome", F.lit(None).cast("int").alias("status")))
         .unionByName(markers.select("seq", "session", "op", "outcome", "status"))
     )
-    return kept.unionByName(new), report
+    return new_state, report
