@@ -175,19 +175,24 @@ def sample_ranges(df: DataFrame, order: Order, ranges: int | None = None) -> Key
     sample = keys if fraction == 1.0 else keys.sample(fraction=fraction, seed=17)
     ordered = sample.orderBy(*sort_columns(order)).select(*[_key_values(c, t) for (c, _), t in zip(order, types)])
     picked = [tuple(r) for r in ordered.collect()]
-    borders = [picked[len(picked) * i // ranges] for i in range(1, ranges)] if picked else []
-    return KeyRanges(order, types, tuple(dict.fromkeys(borders)))
+    borders = list(dict.fromkeys(picked[len(picked) * i // ranges] for i in range(1, ranges))) if picked else []
+    # leading columns that tell the borders apart are enough: a value that fills more than a
+    # range would have been picked twice
+    width = next((p for p in range(1, len(order)) if len({b[:p] for b in borders}) == len(borders)), len(order))
+    return KeyRanges(order[:width], types[:width], tuple(b[:width] for b in borders))
 
 
-def _edge_rows(df: DataFrame, ranges: KeyRanges, value: Column, last: bool, where: Column | None = None) -> DataFrame:
+def _edge_rows(
+    df: DataFrame, ranges: KeyRanges, order: Order, value: Column, last: bool, where: Column | None = None
+) -> DataFrame:
     """First (or last) row of every range: at most one row per range and map task is shuffled."""
     if where is not None:
         df = df.where(where)
-    sorts = sort_columns(ranges.order, backward=last)
+    sorts = sort_columns(order, backward=last)
     w = Window.partitionBy(_BUCKET).orderBy(*sorts)
     return (
         ranges.assign(df)
-        .select(_BUCKET, *dict.fromkeys(c for c, _ in ranges.order), value.alias("__edge"))
+        .select(_BUCKET, *dict.fromkeys(c for c, _ in order), value.alias("__edge"))
         .withColumn("__n", F.row_number().over(w))
         .where(F.col("__n") == 1)
         .select(_BUCKET, "__edge")
@@ -234,7 +239,7 @@ def with_neighbour(
     w = Window.partitionBy(_BUCKET).orderBy(*sort_columns(order, backward))
     out = placed.withColumn("__near", F.lead(packed).over(w))
     if len(cut) > 1:
-        edges = _edge_rows(df, cut, packed, last=backward)
+        edges = _edge_rows(df, cut, order, packed, last=backward)
         carried = _carried_edges(df, edges, cut, backward=not backward)
         out = out.join(F.broadcast(carried), _BUCKET, "left")
         near = F.coalesce("__near", "__edge")
@@ -273,7 +278,7 @@ def with_carried(
     )
     out = placed.withColumn("__near", F.last("__seen", ignorenulls=True).over(w))
     if len(cut) > 1:
-        edges = _edge_rows(df, cut, packed, last=not backward, where=present)
+        edges = _edge_rows(df, cut, order, packed, last=not backward, where=present)
         carried = _carried_edges(df, edges, cut, backward)
         out = out.join(F.broadcast(carried), _BUCKET, "left")
         out = out.withColumn("__near", F.coalesce("__near", "__edge"))
@@ -293,14 +298,15 @@ def row_numbers(
 ) -> DataFrame:
     """Dense numbers in ``order``, restarting per group when ``by`` is given.
 
-    A group that spans ranges is named by the border between them, so its offset needs
-    only a count of border groups: one row per range.
+    ``order`` starts with the ``by`` columns.  A group that spans ranges is named by the
+    border between them, so its offset needs only a count of border groups: one row per range.
     """
     cut = ranges if isinstance(ranges, KeyRanges) else sample_ranges(df, order, ranges)
     placed = cut.assign(df)
     w = Window.partitionBy(_BUCKET, *by).orderBy(*sort_columns(order))
     local = placed.withColumn("__local", F.row_number().over(w).cast("long"))
-    if len(cut) == 1:
+    # borders that do not reach past the group columns never cut a group
+    if len(cut) == 1 or (by and len(cut.order) <= len(by)):
         return local.select(*df.columns, (F.col("__local") + F.lit(start - 1)).alias(name))
     if not by:
         counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__count"))

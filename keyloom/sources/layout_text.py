@@ -1,10 +1,15 @@
-"""Layout texts as a catalog: every line becomes a row, blocks are found by running counts."""
+"""Layout texts as a catalog.
+
+A text describes one table and is one row.  It is cut into field and key blocks with split
+patterns, and values are read off the blocks with extract patterns, all inside the row:
+nothing is shuffled until the catalog frames are joined by somebody.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keyloom.operators.catalog import FIELD_DDL, ID, KEY_DDL, SEGMENT_DDL, TABLE_DDL, Catalog
 
@@ -17,134 +22,145 @@ _HEADER = {
     "LOCAL_CACHE": ("local_cache", "word"), "DRIVER_NAME": ("driver_name", "string"), "SERVER_NAME": ("server_name", "string"),
     "PERMANENT_INT": ("permanent", "word"), "NUMBER_DF_FIELDS": ("declared_fields", "int"),
 }
-_FIELD = ["FIELD_NUMBER", "FIELD_NAME", "FIELD_NATIVE_TYPE", "FIELD_NATIVE_LENGTH", "FIELD_NATIVE_OFFSET", "FIELD_INDEX", "FIELD_DEFAULT_VALUE"]
 
 
-def layout_lines(spark: SparkSession, path: str | Sequence[str], recursive: bool = True, ext: str = "int") -> DataFrame:
-    """Lines of all layout texts as ``(file, line, key, value)``; a text describes one table, so it is small."""
+def layout_texts(spark: SparkSession, path: str | Sequence[str], recursive: bool = True, ext: str = "int") -> DataFrame:
+    """Layout texts as ``(file, value)``."""
     pattern = "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in ext)
-    texts = (
+    return (
         spark.read.option("wholetext", "true").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", str(recursive).lower()).text(path)
         .select(F.col("_metadata.file_path").alias("file"), "value")
     )
-    return split_lines(texts)
 
 
-def split_lines(texts: DataFrame) -> DataFrame:
-    lines = texts.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
-    text = F.trim(F.regexp_replace("text", r"^\s+|\s+$", ""))
-    lines = lines.select("file", "line", text.alias("text")).where("text <> ''")
-    return lines.select(
-        "file", "line", F.upper(F.regexp_extract("text", r"^(\S+)", 1)).alias("key"),
-        F.regexp_extract("text", r"^\S+\s+(.*)$", 1).alias("value"),
-        F.col("text").rlike(r"^[;#]").alias("comment"), F.col("text").rlike(r"\s").alias("has_value"),
+def _start(key: str) -> str:
+    """Pattern of a line's start with a key; the lines of a text are joined by newlines only."""
+    return rf"(?im)^[^\S\n]*{key}(?=\s|$)"
+
+
+def _value(text: Column, key: str) -> Column:
+    """Trimmed value of the last line with the key, empty when there is none."""
+    raw = F.regexp_extract(text, rf"(?ims)\A.*^[^\S\n]*{key}(?=\s|$)[^\S\n]*([^\n]*)", 1)
+    return F.regexp_replace(raw, r"\s+$", "")
+
+
+def _number(text: Column) -> Column:
+    return text.try_cast("int")
+
+
+def _count(text: Column) -> Column:
+    return F.coalesce(_number(text), F.lit(0))
+
+
+def _field(block: Column) -> Column:
+    default = _value(block, "FIELD_DEFAULT_VALUE")
+    return F.struct(
+        _number(F.regexp_extract(block, r"\A[^\S\n]*(\S*)[^\S\n]*(?:\n|\z)", 1)).alias("num"),
+        _value(block, "FIELD_NAME").alias("name"),
+        _count(_value(block, "FIELD_NATIVE_TYPE")).alias("native_type"),
+        _count(_value(block, "FIELD_NATIVE_LENGTH")).alias("length"),
+        _count(_value(block, "FIELD_NATIVE_OFFSET")).alias("offset"),
+        _number(_value(block, "FIELD_INDEX")).alias("field_index"),
+        F.when(default != "", default).alias("default_value"),
     )
 
 
-def _number(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).try_cast("int")
+def _segment(block: Column) -> Column:
+    """A segment block ends with its first flag line; direction and null value stand before it."""
+    parts = F.split(block, _start("INDEX_SEGMENT_FLAG"), 2)
+    head, tail = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    flag = F.when(tail.isNotNull(), F.coalesce(_number(F.regexp_extract(tail, r"\A[^\S\n]*(\S*)", 1)), F.lit(-1)))
+    return F.struct(
+        _count(F.regexp_extract(head, r"\A[^\S\n]*(\S*)", 1)).alias("field_num"),
+        F.coalesce(flag, F.lit(-1)).alias("flag"),
+        (F.upper(_value(head, "INDEX_SEGMENT_DIRECTION")) == "DESCENDING").alias("descending"),
+        _count(_value(head, "INDEX_SEGMENT_NULL_VALUE")).alias("null_value"),
+    )
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    given = lines.where(F.col("key").isin(*_HEADER) & ~F.col("comment") & F.col("has_value"))
-    # the last line of a key counts
-    last = given.groupBy("file", "key").agg(F.max_by("value", "line").alias("value"))
-    return last.groupBy("file").pivot("key", list(_HEADER)).agg(F.first("value"))
+def _rest(text: Column, key: str) -> Column:
+    """The blocks that start with a key, without what stands before the first."""
+    blocks = F.split(text, _start(key))
+    return F.slice(blocks, 2, F.greatest(F.size(blocks) - 1, F.lit(0)))
 
 
-def _blocks(lines: DataFrame) -> DataFrame:
-    """Every line with the number of its field, key and segment block."""
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = lambda key: F.sum((F.col("key") == key).cast("int")).over(w)
-    return lines.where(F.col("key").startswith("FIELD_") | F.col("key").startswith("INDEX_")).select(
-        "*", running("FIELD_NUMBER").alias("field_block"), running("INDEX_NUMBER").alias("key_block"),
-        running("INDEX_SEGMENT_FIELD").alias("segment_block"), running("INDEX_SEGMENT_FLAG").alias("flags_seen"),
+def _key(block: Column) -> Column:
+    segments = F.filter(
+        F.transform(_rest(block, "INDEX_SEGMENT_FIELD"), _segment), lambda s: (s["field_num"] > 0) & (s["flag"] != -1)
+    )
+    placed = F.transform(
+        segments,
+        lambda s, i: F.struct(
+            i.alias("segment"), s["field_num"].alias("field_num"), s["flag"].bitwiseAND(65535).alias("attrs"),
+            s["descending"].alias("descending"), s["null_value"].alias("null_value"),
+        ),
+    )
+    return F.struct(
+        _number(F.regexp_extract(block, r"\A[^\S\n]*(\S*)", 1)).alias("num"),
+        _count(_value(block, "INDEX_NUMBER_SEGMENTS")).alias("num_segments"), placed.alias("segments"),
     )
 
 
-def _pivoted(lines: DataFrame, by: list[str], keys: list[str]) -> DataFrame:
-    last = lines.where(F.col("key").isin(*keys)).groupBy(*by, "key").agg(F.max_by("value", "line").alias("value"))
-    return last.groupBy(*by).pivot("key", keys).agg(F.first("value"))
+def _implied_key(fields: Column):
+    """A key from the fields that name it, for texts without usable key blocks."""
 
+    def build(number: Column) -> Column:
+        mine = F.filter(fields, lambda f: f["field_index"] == number)
+        segments = F.transform(
+            mine,
+            lambda f, i: F.struct(
+                i.alias("segment"), f["num"].alias("field_num"), F.lit(0).alias("attrs"), F.lit(False).alias("descending"), F.lit(0).alias("null_value")
+            ),
+        )
+        return F.struct(number.alias("num"), F.size(mine).alias("num_segments"), segments.alias("segments"))
 
-def parse_layouts(lines: DataFrame, db: str | None = None, schema: str | None = None) -> tuple[Catalog, DataFrame]:
-    """Catalog frames of the layout texts, and the files without a table name.
+    return build
 
-    ``db`` and ``schema`` fill in where a text leaves them empty.
-    """
-    heads = _headers(lines)
-    every = lines.select("file").distinct()
-    skipped = every.join(heads.where(F.col("TABLE_NAME").isNotNull()), "file", "left_anti")
-    heads = heads.where(F.col("TABLE_NAME").isNotNull())
 
-    def filled(column: str, default: str | None) -> Column:
-        return F.when(F.coalesce(F.col(column), F.lit("")) == "", F.lit(default or "")).otherwise(F.col(column))
+def parse_layouts(texts: DataFrame, db: str | None = None, schema: str | None = None) -> tuple[Catalog, DataFrame]:
+    """Catalog frames of layout texts ``(file, value)``, and the files without a table name.
 
-    made = {"source_file": F.col("file"), "migrated": F.lit(False)}
+    ``db`` and ``schema`` fill in where a text leaves them empty.
+    """
+    lines = texts.select("file", F.regexp_replace("value", "\r\n?", "\n").alias("__text"))
+    # comment lines hold no header values
+    plain = F.regexp_replace("__text", r"(?m)^[^\S\n]*[;#][^\n]*", "")
+    heads = lines.withColumn("__plain", plain)
+    value = lambda key: _value(F.col("__plain"), key)
+    made = {"source_file": F.col("file"), "migrated": F.lit(False), "source_dir": F.regexp_replace("file", "/[^/]*$", "")}
     for key, (name, kind) in _HEADER.items():
-        if kind == "int":
-            value = _number(key) if name == "primary_index" else F.coalesce(_number(key), F.lit(0))
-        elif kind == "number":
-            value = F.coalesce(F.trim(key) != "0", F.lit(False))
-        elif kind == "word":
-            value = F.coalesce(F.upper(F.trim(key)) == "YES", F.lit(False))
-        else:
-            value = filled(key, {"db_name": db, "schema_name": schema}.get(name))
-        made[name] = value
-    made["source_dir"] = F.regexp_replace("file", "/[^/]*$", "")
-    schema_ = lines.sparkSession.createDataFrame([], TABLE_DDL).schema
-    tables = heads.select("file", *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema_])
-    ids = tables.select("file", *ID)
-
-    blocks = _blocks(lines)
-    raw = _pivoted(blocks.where("field_block > 0"), ["file", "field_block"], _FIELD)
-    count = lambda c: F.coalesce(_number(c), F.lit(0))
-    fields = raw.where((_number("FIELD_NUMBER") >= 0) & (F.coalesce("FIELD_NAME", F.lit("")) != "")).select(
-        "file", "field_block", _number("FIELD_NUMBER").alias("num"), F.col("FIELD_NAME").alias("name"),
-        count("FIELD_NATIVE_TYPE").alias("native_type"), count("FIELD_NATIVE_LENGTH").alias("length"),
-        count("FIELD_NATIVE_OFFSET").alias("offset"), _number("FIELD_INDEX").alias("field_index"),
-        F.when(F.col("FIELD_DEFAULT_VALUE") != "", F.col("FIELD_DEFAULT_VALUE")).alias("default_value"),
-    )
+        text = value(key)
+        default = {"db_name": db, "schema_name": schema}.get(name)
+        made[name] = {
+            "int": _number(text) if name == "primary_index" else _count(text),
+            "number": (text != "") & (text != "0"),
+            "word": F.upper(text) == "YES",
+            "string": F.when(text == "", F.lit(default or "")).otherwise(text),
+        }[kind]
+    layout_schema = texts.sparkSession.createDataFrame([], TABLE_DDL).schema
+    parsed = heads.select("file", "__text", *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in layout_schema])
+    skipped = parsed.where("table_name = ''").select("file")
+    parsed = parsed.where("table_name <> ''")
 
-    in_key = blocks.where("key_block > 0")
-    keys = _pivoted(in_key, ["file", "key_block"], ["INDEX_NUMBER", "INDEX_NUMBER_SEGMENTS"])
-    keys = keys.select("file", "key_block", _number("INDEX_NUMBER").alias("num"), count("INDEX_NUMBER_SEGMENTS").alias("num_segments"))
-    # a segment ends with its first flag line; what follows belongs to none
-    w = Window.partitionBy("file", "key_block", "segment_block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    open_ = in_key.withColumn("__closed", F.coalesce(F.max((F.col("key") == "INDEX_SEGMENT_FLAG").cast("int")).over(w), F.lit(0)))
-    started = F.max((F.col("key") == "INDEX_SEGMENT_FIELD").cast("int")).over(
-        Window.partitionBy("file", "key_block", "segment_block")
-    )
-    open_ = open_.withColumn("__started", started).where("__closed = 0 AND __started = 1")
-    parts = _pivoted(
-        open_, ["file", "key_block", "segment_block"],
-        ["INDEX_SEGMENT_FIELD", "INDEX_SEGMENT_DIRECTION", "INDEX_SEGMENT_NULL_VALUE", "INDEX_SEGMENT_FLAG"],
+    columns = lambda ddl: [c.split()[0] for c in ddl.split(", ")]
+    fields = F.filter(
+        F.transform(_rest(F.col("__text"), "FIELD_NUMBER"), _field), lambda f: (f["num"] >= 0) & (f["name"] != "")
     )
-    flag = F.when(F.col("INDEX_SEGMENT_FLAG").isNotNull(), F.coalesce(_number("INDEX_SEGMENT_FLAG"), F.lit(-1)))
-    parts = parts.where((_number("INDEX_SEGMENT_FIELD") > 0) & (flag != -1)).select(
-        "file", "key_block", "segment_block", _number("INDEX_SEGMENT_FIELD").alias("field_num"), flag.bitwiseAND(65535).alias("attrs"),
-        F.coalesce(F.upper(F.trim("INDEX_SEGMENT_DIRECTION")) == "DESCENDING", F.lit(False)).alias("descending"),
-        count("INDEX_SEGMENT_NULL_VALUE").alias("null_value"),
+    with_fields = parsed.select(*ID, "__text", fields.alias("fields"))
+    declared = F.filter(
+        F.transform(_rest(F.col("__text"), "INDEX_NUMBER"), _key), lambda k: (k["num"] >= 0) & (F.size(k["segments"]) > 0)
     )
-    within = Window.partitionBy("file", "key_block").orderBy("segment_block")
-    declared = parts.withColumn("segment", F.row_number().over(within) - 1).join(keys, ["file", "key_block"]).where("num >= 0")
-    # texts without usable keys: fields name the key they belong to
-    texts_with_keys = declared.select("file").distinct()
-    loose = fields.where(F.col("field_index").isNotNull()).join(texts_with_keys, "file", "left_anti")
-    order = Window.partitionBy("file", "field_index").orderBy("field_block")
-    implied = loose.select(
-        "file", F.col("field_index").alias("num"), (F.row_number().over(order) - 1).alias("segment"), F.col("num").alias("field_num"),
-        F.lit(0).alias("attrs"), F.lit(False).alias("descending"), F.lit(0).alias("null_value"),
-        F.count(F.lit(1)).over(Window.partitionBy("file", "field_index")).cast("int").alias("num_segments"),
+    numbers = F.array_distinct(F.filter(F.transform("fields", lambda f: f["field_index"]), lambda n: n.isNotNull()))
+    implied = F.transform(numbers, _implied_key(F.col("fields")))
+    keyed = with_fields.withColumn("declared", declared).select(
+        *ID, F.explode(F.when(F.size("declared") > 0, F.col("declared")).otherwise(implied)).alias("k")
     )
-    segments = declared.select(*implied.columns).unionByName(implied)
-    columns = lambda ddl: [c.split()[0] for c in ddl.split(", ")]
-    named = lambda df: df.join(ids, "file")
     catalog = Catalog(
-        tables.drop("file"), named(fields).select(*columns(FIELD_DDL)),
-        named(segments.select("file", "num", "num_segments").distinct()).select(*columns(KEY_DDL)),
-        named(segments).select(*columns(SEGMENT_DDL)),
+        parsed.select(*columns(TABLE_DDL)),
+        with_fields.select(*ID, F.explode("fields").alias("f")).select(*ID, "f.*").select(*columns(FIELD_DDL)),
+        keyed.select(*ID, "k.num", "k.num_segments").select(*columns(KEY_DDL)),
+        keyed.select(*ID, "k.num", F.explode("k.segments").alias("s")).select(*ID, "num", "s.*").select(*columns(SEGMENT_DDL)),
     )
     return catalog, skipped
 
@@ -153,4 +169,4 @@ def read_layouts(
     spark: SparkSession, path: str | Sequence[str], recursive: bool = True, db: str | None = None, schema: str | None = None
 ) -> tuple[Catalog, DataFrame]:
     """All layout texts under ``path`` as a catalog, and the files that were skipped."""
-    return parse_layouts(layout_lines(spark, path, recursive), db, schema)
+    return parse_layouts(layout_texts(spark, path, recursive), db, schema)

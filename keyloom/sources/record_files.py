@@ -267,9 +267,10 @@ def deleted_slots(headers: DataFrame) -> DataFrame:
     chains = headers.where(
         F.col("problem").isNull() & (F.col("version") == 5) & (F.col("chain") != 0) & (F.col("chain") != _CHAIN_END)
     )
-    reach = cut(chains.select("file", F.col("chain").alias("at")))
+    reach = chains.select("file", F.col("chain").alias("at"))
     if reach.isEmpty():
         return reach
+    reach = cut(reach)
     links = _spread(_chunks(chains), chains).mapInArrow(_links, "file string, at long, to long")
     jump = cut(links.where(f"to <> 0 AND to <> {_CHAIN_END}L"))
     known = reach.count()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from keyloom.operators import catalog as C
 from keyloom.operators import drift as D
 from keyloom.operators.joins import drift_join
+from keyloom.plans.lineage import cut
 from keyloom.plans.ordering import row_numbers
 from suite.common import Suite, table
 
@@ -32,7 +33,9 @@ LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
 
 def lines(spark, sf):
     df = table(spark, sf, "lineitem").select(*LINE_KEY, "l_returnflag", "l_linestatus", "l_tax")
-    return row_numbers(df, [(c, False) for c in LINE_KEY], "n", by=["l_orderkey"]).withColumn("n", F.col("n").cast("int"))
+    numbered = row_numbers(df, [(c, False) for c in LINE_KEY], "n", by=["l_orderkey"])
+    # several catalog frames are made of it
+    return cut(numbered.withColumn("n", F.col("n").cast("int")))
 
 
 NUM = f"row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_KEY[1:])})"
@@ -58,8 +61,8 @@ _EXPECTED_TYPE = """CASE native_type WHEN 0 THEN 'VARCHAR(20)' WHEN 1 THEN 'INT'
     WHEN 4 THEN 'TIME(0)' WHEN 5 THEN 'DECIMAL(18,0)' WHEN 6 THEN 'DECIMAL(18,4)' ELSE 'TINYINT' END"""
 
 
-def derived(spark, sf) -> C.Catalog:
-    ln = lines(spark, sf)
+def derived(spark, sf, ln=None) -> C.Catalog:
+    ln = ln or lines(spark, sf)
     num = F.col("n")
     length = F.expr(_LENGTH.replace("num", "n"))
     fields = ln.select(
@@ -88,8 +91,7 @@ def derived(spark, sf) -> C.Catalog:
     return C.Catalog(tables, fields, keys, segments)
 
 
-def backend(spark, sf):
-    ln = lines(spark, sf)
+def backend(ln):
     n = F.col("n")
     kind = F.expr("""CASE n % 8 WHEN 1 THEN 'int' WHEN 2 THEN 'float' WHEN 3 THEN 'date' WHEN 4 THEN 'time(7)'
       WHEN 5 THEN 'decimal(9,2)' WHEN 6 THEN 'decimal' ELSE 'tinyint' END""")
@@ -111,8 +113,8 @@ def backend(spark, sf):
         "ELSE 'TINYINT' END AS expected_type", "WHEN 7 THEN 'TINYINT' END AS expected_type"),
 )
 def drifted(spark, sf):
-    expected = D.expected_columns(derived(spark, sf))
-    return drift_join(expected, backend(spark, sf))
+    ln = lines(spark, sf)
+    return drift_join(D.expected_columns(derived(spark, sf, ln)), backend(ln))
 
 
 _NORMAL = "upper(regexp_extract({c}, '^[^ (]*')) || CASE WHEN upper({c}) LIKE 'VARCHAR%' THEN regexp_extract({c}, '\\([^)]*\\)?') ELSE '' END"
@@ -127,7 +129,8 @@ _DIFF = f"""{BASE}, {BACKEND},
 
 @S.add("schema_diff", f"WITH {_DIFF} SELECT table_name, column_name, expected_type, actual_type, outcome FROM diff")
 def diff(spark, sf):
-    return D.schema_diff(D.expected_columns(derived(spark, sf)), backend(spark, sf))
+    ln = lines(spark, sf)
+    return D.schema_diff(D.expected_columns(derived(spark, sf, ln)), backend(ln))
 
 
 _HEALTH = f"""{_DIFF},
@@ -145,9 +148,10 @@ _HEALTH = f"""{_DIFF},
 
 
 def _health(spark, sf):
-    cat = derived(spark, sf)
+    ln = lines(spark, sf)
+    cat = derived(spark, sf, ln)
     connected = cat.tables.where("source_dir <> '/data/D4'").select("source_dir").distinct()
-    return D.health(cat, backend(spark, sf), connected)
+    return D.health(cat, backend(ln), connected)
 
 
 @S.add("health", f"WITH {_HEALTH} SELECT * FROM health")
@@ -355,9 +359,8 @@ def upsert(spark, sf):
     return out.tables.select(*C.ID, "record_length", "migrated", "row_count").join(counts, "table_name")
 
 
-def _edits(spark, sf):
+def _edits(spark, sf, ln):
     """One edit per line item: set, put or drop, in line order; late orders drop their table."""
-    ln = lines(spark, sf)
     n = F.col("n")
     none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], C.EDIT_DDL).schema}
     action = F.when(F.col("l_returnflag") == "R", "drop_field").when(F.col("l_returnflag") == "A", "put_field").otherwise("set")
@@ -392,7 +395,8 @@ _EDITED = f"""{BASE}, dead AS (SELECT 'T' || o_orderkey AS table_name FROM order
       AND table_name IN (SELECT table_name FROM tables)""",
 )
 def edited_fields(spark, sf):
-    return C.apply_layout_edits(derived(spark, sf), _edits(spark, sf))[0].fields.select("table_name", "num", "name")
+    ln = lines(spark, sf)
+    return C.apply_layout_edits(derived(spark, sf, ln), _edits(spark, sf, ln))[0].fields.select("table_name", "num", "name")
 
 
 @S.add(
@@ -402,7 +406,8 @@ def edited_fields(spark, sf):
     WHERE table_name NOT IN (SELECT table_name FROM dead)""",
 )
 def edited_tables(spark, sf):
-    return C.apply_layout_edits(derived(spark, sf), _edits(spark, sf))[0].tables.select("table_name", "record_length")
+    ln = lines(spark, sf)
+    return C.apply_layout_edits(derived(spark, sf, ln), _edits(spark, sf, ln))[0].tables.select("table_name", "record_length")
 
 
 _SPECS_SQL = "SELECT l_orderkey AS k, num - 1 AS segment, (num - 1) * 20 + 1 + CASE WHEN l_returnflag = 'R' THEN 3 ELSE 0 END AS position, l_linestatus FROM ln WHERE num <= 2"
@@ -416,9 +421,9 @@ _SPECS_SQL = "SELECT l_orderkey AS k, num - 1 AS segment, (num - 1) * 20 + 1 + C
       l_linestatus = 'O' AS descending FROM hit JOIN nk ON nk.table_name = 'T' || k WHERE found""",
 )
 def key_added(spark, sf):
-    cat = derived(spark, sf)
-    n = F.col("n")
-    specs = lines(spark, sf).where("n <= 2").select(
+    ln = lines(spark, sf)
+    cat, n = derived(spark, sf, ln), F.col("n")
+    specs = ln.where("n <= 2").select(
         *_id("l_orderkey"), (n - 1).alias("segment"), ((n - 1) * 20 + 1 + F.when(F.col("l_returnflag") == "R", 3).otherwise(0)).alias("position"),
         F.lit(0).alias("length"), F.when(F.col("l_linestatus") == "O", 0x40).otherwise(0).alias("flags"),
     )

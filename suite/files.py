@@ -153,7 +153,7 @@ _LN = """ln AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_
 
 
 def _parsed(spark, sf):
-    return layout_text.parse_layouts(layout_text.split_lines(_layout_texts(spark, sf)), db="MAIN", schema="dbo")[0]
+    return layout_text.parse_layouts(_layout_texts(spark, sf), db="MAIN", schema="dbo")[0]
 
 
 @S.add(
