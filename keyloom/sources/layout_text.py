@@ -124,9 +124,10 @@ def parse_layouts(texts: DataFrame, db: str | None = None, schema: str | None =
     ``db`` and ``schema`` fill in where a text leaves them empty.
     """
     lines = texts.select("file", F.regexp_replace("value", "\r\n?", "\n").alias("__text"))
-    # comment lines hold no header values
-    plain = F.regexp_replace("__text", r"(?m)^[^\S\n]*[;#][^\n]*", "")
-    heads = lines.withColumn("__plain", plain)
+    # the header lines alone are short; each header key is looked up in them, not in the whole text
+    keys = "|".join(_HEADER)
+    head = F.regexp_extract_all("__text", F.lit(rf"(?im)^[^\S\n]*((?:{keys})\s[^\n]*)"), F.lit(1))
+    heads = lines.withColumn("__plain", F.array_join(head, "\n"))
     value = lambda key: _value(F.col("__plain"), key)
     made = {"source_file": F.col("file"), "migrated": F.lit(False), "source_dir": F.regexp_replace("file", "/[^/]*$", "")}
     for key, (name, kind) in _HEADER.items():

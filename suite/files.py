@@ -146,7 +146,9 @@ def _layout_texts(spark, sf):
         "INDEX_NUMBER 1\nINDEX_NUMBER_SEGMENTS 3\nINDEX_SEGMENT_FIELD 1\nINDEX_SEGMENT_FLAG 19\nINDEX_SEGMENT_FIELD 2\n"
         "INDEX_SEGMENT_DIRECTION descending\nINDEX_SEGMENT_NULL_VALUE 32\nINDEX_SEGMENT_FLAG 3\nINDEX_SEGMENT_FIELD 0\nINDEX_SEGMENT_FLAG -1\n",
     ).otherwise("")
-    return o.select(F.concat(F.lit("/layouts/T"), "o_orderkey", F.lit(".int")).alias("file"), F.concat(head, F.coalesce("body", F.lit("")), keys).alias("value"))
+    return o.select(F.concat(F.lit("/layouts/T"), "o_orderkey", F.lit(".int")).alias("file"), F.concat(head, F.coalesce("body", F.lit("")), keys).alias("value")).repartition(
+        spark.sparkContext.defaultParallelism, "file"
+    )
 
 
 _LN = """ln AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS num FROM lineitem)"""
