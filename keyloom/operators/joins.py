@@ -15,7 +15,7 @@ FOUND = 0
 NO_SUCH_KEY = 4
 NO_SUCH_RECORD = 9
 
-# Up to this many distinct probe keys are turned into literal borders.
+# Up to this many probes have their keys turned into literal borders.
 FEW_PROBES = 2048
 
 
@@ -134,12 +134,11 @@ def nearest_join(
 
 
 def _probe_borders(probes: DataFrame, cols: Sequence[str], hidden: Sequence[str], desc: Sequence[bool]) -> KeyRanges | None:
-    """The distinct probe keys as range borders, when there are few; the check reads at most one more."""
-    keys = probes.select(*[F.col(c).alias(h) for c, h in zip(cols, hidden)]).distinct()
-    order = list(zip(hidden, desc))
+    """The probe keys as range borders, when there are few; the check stops one row beyond the limit."""
+    keys = probes.select(*[F.col(c).alias(h) for c, h in zip(cols, hidden)])
     if keys.limit(FEW_PROBES + 1).count() > FEW_PROBES:
         return None
-    return borders_of(keys, order)
+    return borders_of(keys.distinct(), list(zip(hidden, desc)))
 
 
 def _nearest_to_borders(records: DataFrame, borders: KeyRanges, op: str) -> DataFrame:

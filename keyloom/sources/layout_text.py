@@ -27,11 +27,8 @@ _HEADER = {
 def layout_texts(spark: SparkSession, path: str | Sequence[str], recursive: bool = True, ext: str = "int") -> DataFrame:
     """Layout texts as ``(file, value)``."""
     pattern = "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in ext)
-    return (
-        spark.read.option("wholetext", "true").option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower()).text(path)
-        .select(F.col("_metadata.file_path").alias("file"), "value")
-    )
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
+    return texts.select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def _start(key: str) -> str:

@@ -41,7 +41,10 @@ RECORD_DDL = "file string, page_no int, slot_no int, rec binary"
 
 
 def collect_files(spark: SparkSession, paths: str | Sequence[str], ext: str = "b", recursive: bool = True) -> DataFrame:
-    """Files with the extension (any case) as ``(file, size)``; contents are not read."""
+    """Files with the extension (any case) as ``(file, size)``; contents are not read.
+
+    Spark's listing leaves out files of zero bytes.
+    """
     pattern = "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext.lstrip("."))
     listed = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
