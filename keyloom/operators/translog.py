@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from keyloom.operators.changes import DUPLICATE_KEY, INVALID_POSITION, OK, _flag, matching_rows
 from keyloom.plans.lineage import cut
-from keyloom.plans.ordering import with_carried, with_neighbour
+from keyloom.plans.ordering import KeyRanges, sample_ranges, with_carried, with_neighbour
 
 # Operation numbers in a log, and marker outcome codes.
 INSERT = 2
@@ -24,14 +24,16 @@ _MARKERS = f"op IN ({BEGIN}, {BEGIN_CONCURRENT}, {END}, {ABORT})"
 _CHANGES = f"op IN ({INSERT}, {UPDATE}, {DELETE})"
 
 
-def judge_markers(log: DataFrame) -> DataFrame:
+_ORDER = [("session", False), ("seq", False)]
+
+
+def judge_markers(log: DataFrame, ranges: KeyRanges) -> DataFrame:
     """Begin, end and abort markers with ``status`` and, for accepted begins, ``outcome``.
 
     A transaction is open exactly when the marker before is a begin, accepted or not.
     """
-    order = [("session", False), ("seq", False)]
     markers = log.where(_MARKERS).select("session", "seq", "op")
-    before = with_neighbour(markers, order, {"before": F.col("op")}, ["session"], backward=True)
+    before = with_neighbour(markers, _ORDER, {"before": F.col("op")}, ["session"], backward=True, ranges=ranges)
     is_open = F.coalesce(F.col("before").isin(BEGIN, BEGIN_CONCURRENT), F.lit(False))
     status = (
         F.when(F.expr(_BEGINS) & is_open, F.lit(ALREADY_OPEN))
@@ -40,7 +42,9 @@ def judge_markers(log: DataFrame) -> DataFrame:
     )
     judged = cut(before.withColumn("status", status).drop("before"))
     # among accepted markers begins and ends alternate, so a begin's outcome is the next marker
-    closed = with_neighbour(judged.where(F.col("status") == OK), order, {"closing": F.col("op")}, ["session"])
+    closed = with_neighbour(
+        judged.where(F.col("status") == OK), _ORDER, {"closing": F.col("op")}, ["session"], ranges=ranges
+    )
     outcome = F.when(
         F.expr(_BEGINS),
         F.when(F.col("closing") == END, F.lit("committed")).when(F.col("closing") == ABORT, F.lit("aborted")).otherwise(F.lit("open")),
@@ -51,14 +55,15 @@ def judge_markers(log: DataFrame) -> DataFrame:
 
 def resolve_changes(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Changes with their transaction's ``outcome`` (``plain`` outside any), and the judged markers."""
-    markers = cut(judge_markers(log))
+    # one set of ranges over the whole log serves its markers and its changes
+    ranges = sample_ranges(log, _ORDER)
+    markers = cut(judge_markers(log, ranges))
     together = log.where(_CHANGES).withColumn("__marker", F.lit(None).cast("string")).unionByName(
         markers.where(F.col("status") == OK).select("session", "seq", "op", F.coalesce("outcome", F.lit("plain")).alias("__marker")),
         allowMissingColumns=True,
     )
-    order = [("session", False), ("seq", False)]
     carried = with_carried(
-        together, order, F.col("__marker").isNotNull(), {"outcome": F.col("__marker")}, ["session"]
+        together, _ORDER, F.col("__marker").isNotNull(), {"outcome": F.col("__marker")}, ["session"], ranges=ranges
     )
     changes = carried.where(_CHANGES).drop("__marker").withColumn("outcome", F.coalesce("outcome", F.lit("plain")))
     return changes, markers

@@ -50,17 +50,35 @@ def _count(text: Column) -> Column:
     return F.coalesce(_number(text), F.lit(0))
 
 
-def _field(block: Column) -> Column:
-    default = _value(block, "FIELD_DEFAULT_VALUE")
-    return F.struct(
-        _number(F.regexp_extract(block, r"\A[^\S\n]*(\S*)[^\S\n]*(?:\n|\z)", 1)).alias("num"),
-        _value(block, "FIELD_NAME").alias("name"),
-        _count(_value(block, "FIELD_NATIVE_TYPE")).alias("native_type"),
-        _count(_value(block, "FIELD_NATIVE_LENGTH")).alias("length"),
-        _count(_value(block, "FIELD_NATIVE_OFFSET")).alias("offset"),
-        _number(_value(block, "FIELD_INDEX")).alias("field_index"),
+def _field_number(block: Column) -> Column:
+    return _number(F.regexp_extract(block, r"\A[^\S\n]*(\S*)[^\S\n]*(?:\n|\z)", 1))
+
+
+def _field_frame(texts: DataFrame) -> DataFrame:
+    """One row per field block; blocks are exploded first, so each value is extracted once."""
+    blocks = texts.select(*ID, F.explode(_rest(F.col("__text"), "FIELD_NUMBER")).alias("b"))
+    b = F.col("b")
+    default = _value(b, "FIELD_DEFAULT_VALUE")
+    fields = blocks.select(
+        *ID, _field_number(b).alias("num"), _value(b, "FIELD_NAME").alias("name"),
+        _count(_value(b, "FIELD_NATIVE_TYPE")).alias("native_type"),
+        _count(_value(b, "FIELD_NATIVE_LENGTH")).alias("length"),
+        _count(_value(b, "FIELD_NATIVE_OFFSET")).alias("offset"),
+        _number(_value(b, "FIELD_INDEX")).alias("field_index"),
         F.when(default != "", default).alias("default_value"),
     )
+    return fields.where((F.col("num") >= 0) & (F.col("name") != ""))
+
+
+def _field_keys(text: Column) -> Column:
+    """Number and key of the fields that name one, in text order."""
+    named = F.transform(
+        _rest(text, "FIELD_NUMBER"),
+        lambda b: F.struct(
+            _field_number(b).alias("num"), _number(_value(b, "FIELD_INDEX")).alias("field_index"), _value(b, "FIELD_NAME").alias("name")
+        ),
+    )
+    return F.filter(named, lambda f: (f["num"] >= 0) & (f["name"] != "") & f["field_index"].isNotNull())
 
 
 def _segment(block: Column) -> Column:
@@ -142,21 +160,19 @@ def parse_layouts(texts: DataFrame, db: str | None = None, schema: str | None =
     parsed = parsed.where("table_name <> ''")
 
     columns = lambda ddl: [c.split()[0] for c in ddl.split(", ")]
-    fields = F.filter(
-        F.transform(_rest(F.col("__text"), "FIELD_NUMBER"), _field), lambda f: (f["num"] >= 0) & (f["name"] != "")
-    )
-    with_fields = parsed.select(*ID, "__text", fields.alias("fields"))
     declared = F.filter(
         F.transform(_rest(F.col("__text"), "INDEX_NUMBER"), _key), lambda k: (k["num"] >= 0) & (F.size(k["segments"]) > 0)
     )
-    numbers = F.array_distinct(F.filter(F.transform("fields", lambda f: f["field_index"]), lambda n: n.isNotNull()))
-    implied = F.transform(numbers, _implied_key(F.col("fields")))
-    keyed = with_fields.withColumn("declared", declared).select(
-        *ID, F.explode(F.when(F.size("declared") > 0, F.col("declared")).otherwise(implied)).alias("k")
-    )
+    has_keys = F.col("__text").rlike(_start("INDEX_SEGMENT_FLAG"))
+    texts_ = parsed.select(*ID, "__text", F.when(has_keys, declared).alias("declared"))
+    usable = F.coalesce(F.size("declared") > 0, F.lit(False))
+    explicit = texts_.where(usable).select(*ID, F.explode("declared").alias("k"))
+    loose = texts_.where(~usable).select(*ID, _field_keys(F.col("__text")).alias("fields"))
+    numbers = F.array_distinct(F.transform("fields", lambda f: f["field_index"]))
+    keyed = explicit.unionByName(loose.select(*ID, F.explode(F.transform(numbers, _implied_key(F.col("fields")))).alias("k")))
     catalog = Catalog(
         parsed.select(*columns(TABLE_DDL)),
-        with_fields.select(*ID, F.explode("fields").alias("f")).select(*ID, "f.*").select(*columns(FIELD_DDL)),
+        _field_frame(parsed).select(*columns(FIELD_DDL)),
         keyed.select(*ID, "k.num", "k.num_segments").select(*columns(KEY_DDL)),
         keyed.select(*ID, "k.num", F.explode("k.segments").alias("s")).select(*ID, "num", "s.*").select(*columns(SEGMENT_DDL)),
     )
