@@ -123,8 +123,11 @@ def _strictly_after(order: Order, values: Sequence[Any]) -> Column:
 
 def _leading_bound(order: Order, values: Sequence[Any]) -> Column:
     """Implied by the comparison; lets a file sorted on the first segment skip row groups."""
-    c, d = order[0]
-    return _later_than_value(c, d, values[0]) | _equals_value(c, values[0])
+    (name, desc), value = order[0], values[0]
+    c = F.col(name)
+    if value is None:
+        return c.isNull() if desc else F.lit(True)
+    return (c <= F.lit(value)) | c.isNull() if desc else c >= F.lit(value)
 
 
 def key_predicate(key: KeySpec | str | Sequence[str], op: str, values: Sequence[Any]) -> Column:
