@@ -34,7 +34,7 @@ SOUT|OPS|BETA|450 WEST|ENG|ALPHA|200 EAST|ENG|ALPHA|600 SOUT|OPS|ALPHA|850 WEST|
 DESC = Layout.build("TEST_DESC", [("RANK_VAL", 1, 4), ("LABEL", 0, 8)], [KeySpec.of("-RANK_VAL")])
 DESC_ROWS = [(50, "fifty"), (20, "twenty"), (80, "eighty"), (10, "ten"), (60, "sixty"), (30, "thirty"), (70, "seventy"), (40, "forty")]
 
-LEDGER_TEXT = """DRIVER_NAME SQL_BTR
+LEDGER_TEXT = """DRIVER_NAME SQL_DRV
 TABLE_NAME BKGLTRAN
 SCHEMA_NAME
 DATABASE_SPACE_NAME LEDGER

@@ -261,7 +261,7 @@ def created_columns(specs: DataFrame, tables: DataFrame) -> DataFrame:
     both = given.unionByName(blank)
     keyed = both.select("path", (F.col("__i") + 1).alias("ordinal"), F.format_string("col_%02d", "__i").alias("column_name"), "data_type")
     head = tables.select("path").distinct().select(
-        "path", F.lit(0).alias("ordinal"), F.lit("btrv_row").alias("column_name"), F.lit("BIGINT").alias("data_type")
+        "path", F.lit(0).alias("ordinal"), F.lit(L.DEFAULT_RECNUM).alias("column_name"), F.lit("BIGINT").alias("data_type")
     )
     return head.unionByName(keyed).select(name, "ordinal", "column_name", "data_type")
 

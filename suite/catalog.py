@@ -496,7 +496,7 @@ def repaired(spark, sf):
     f"""WITH ln AS (SELECT *, {NUM} AS num FROM lineitem), t AS (SELECT o_orderkey AS k, 'new_t' || o_orderkey AS table_name FROM orders),
     s AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY num) - 1 AS i, CASE num % 6 WHEN 0 THEN 'VARCHAR(' || greatest(num * 2, 1) || ')'
       WHEN 1 THEN 'INT' WHEN 3 THEN 'REAL' ELSE 'VARBINARY(' || greatest(num * 2, 1) || ')' END AS ty FROM ln)
-    SELECT table_name, 0 AS ordinal, 'btrv_row' AS column_name, 'BIGINT' AS data_type FROM t
+    SELECT table_name, 0 AS ordinal, 'recnum' AS column_name, 'BIGINT' AS data_type FROM t
     UNION ALL SELECT table_name, i + 1, 'col_' || lpad(CAST(i AS VARCHAR), 2, '0'), ty FROM t JOIN s USING (k)
     UNION ALL SELECT table_name, 1, 'col_00', 'VARCHAR(255)' FROM t WHERE k NOT IN (SELECT k FROM s)""",
 )

@@ -212,7 +212,7 @@ def test_reconcile(spark):
 def test_create_table(spark):
     assert D.create_table(spark, "C:\\x\\New-Tab.b", [(10, 0), (4, 1), (3, 99)]) == 0
     cols = [(f.name, f.dataType.simpleString()) for f in spark.table("new_tab").schema]
-    assert cols == [("btrv_row", "bigint"), ("col_00", "string"), ("col_01", "int"), ("col_02", "binary")]
+    assert cols == [("recnum", "bigint"), ("col_00", "string"), ("col_01", "int"), ("col_02", "binary")]
     assert D.create_table(spark, "new-tab.b", [], exclusive=True) == 59 and D.create_table(spark, "new-tab.b", []) == 0
     spark.sql("DROP TABLE new_tab")
 
