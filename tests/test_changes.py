@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from fixtures import records
 from keyloom.functions.codec import decode_records, encode_records

@@ -6,7 +6,6 @@ import struct
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from keyloom import layout as L
 from keyloom.functions.codec import decode_keys, decode_records, encode_records, extract_ranges, key_image
