@@ -1,8 +1,9 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
 Each word has a log-odds score of toxic against clean documents, shrunk by a Dirichlet prior in
-proportion to the class sizes; words without evidence score nothing, and a small drift is
-taken off every word.  One linear scan finds all disjoint maximal-scoring segments of a text.
+proportion to the class sizes; a word that is not in the table has the score of the longest of
+its beginnings that is, so that insults are known in forms not seen before.  Words without
+evidence score nothing, and a small drift is taken off every word.  One linear scan finds all disjoint maximal-scoring segments of a text.
 Extreme-value statistics turn a segment's score into a normalised one that allows for the length
 of the text, and the significant segments of a text add up to its evidence.  A logistic curve
 fitted on labelled documents makes a probability of the evidence.
@@ -34,20 +35,48 @@ DRIFT = 0.05
 #: Expected number of equal segments in a random text of that length, below which one counts.
 SIGNIFICANT = 0.05
 TOXIC = 0.7
+#: Lengths of the beginnings that stand for a word, and the mark they carry in the table.
+BEGINNINGS = (6, 5, 4)
+STEM = "*"
 _COUNTED_WORDS = 500_000
+_SCORED_WORDS = 500_000
+
+
+def units_of(word: str) -> list[str]:
+    """The word and its beginnings, longest first."""
+    return [word, *(word[:n] + STEM for n in BEGINNINGS if len(word) > n)]
+
+
+class WordScores(dict):
+    """Scores of the words met, from the table; emptied when full."""
+
+    def __init__(self, table: dict[str, float]):
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, word: str) -> float:
+        score = next((self.table[u] for u in units_of(word) if u in self.table), 0.0)
+        if len(self) >= _SCORED_WORDS:
+            self.clear()
+        self[word] = score
+        return score
+
+    def __reduce__(self):
+        return WordScores, (self.table,)
 
 
 @dataclass(frozen=True)
 class ToxicModel:
     """Word scores, extreme-value parameters and the curve; small and sent to the tasks."""
 
-    scores: dict[str, float]
+    scores: WordScores
     decay: float
     curve: tuple[float, float]
 
     def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
         """Maximal segments as (first word, end, score), in order."""
-        return maximal_segments([(i, s - DRIFT) for i, w in enumerate(words) if (s := self.scores.get(w, 0.0))], DRIFT)
+        found = list(map(self.scores.__getitem__, words))
+        return maximal_segments([(i, s - DRIFT) for i, s in enumerate(found) if s], DRIFT)
 
     def significant(self, words: list[str]) -> list[tuple[int, int, float]]:
         """The segments that chance would give to few texts of this length; scores normalised.
@@ -119,7 +148,7 @@ def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def word_totals(labelled: DataFrame) -> DataFrame:
-    """``word, toxic_n, clean_n``: documents per class with the word, counted in tasks, added up by Spark."""
+    """``word, toxic_n, clean_n``: documents per class with the word or beginning, counted in tasks and added up by Spark."""
     types = {"word": pa.string(), "toxic_n": pa.int64(), "clean_n": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +163,7 @@ def word_totals(labelled: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, toxic in zip(texts_of(batch), batch.column("toxic").to_pylist()):
-                held[bool(toxic)].update(set(words_of(text)))
+                held[bool(toxic)].update({u for w in set(words_of(text)) for u in units_of(w)})
                 if len(held[0]) + len(held[1]) > _COUNTED_WORDS:
                     yield flush()
         yield flush()
@@ -196,7 +225,7 @@ def learn_toxicity(df: DataFrame, labels: DataFrame) -> ToxicModel:
     """Word scores and the curve from the labelled rows of ``df`` outside the held-out fold."""
     labelled = _labelled(df, labels)
     scored = word_scores(word_totals(labelled))
-    model = ToxicModel({w: s for w, s, _ in scored}, decay_of(scored) if scored else 1.0, (0.0, 0.0))
+    model = ToxicModel(WordScores({w: s for w, s, _ in scored}), decay_of(scored) if scored else 1.0, (0.0, 0.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
