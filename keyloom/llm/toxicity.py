@@ -26,14 +26,15 @@ from keyloom.llm.common import fold, in_batches, texts_of
 WORD = re.compile(r"[^\W\d_]+")
 #: Labelled documents learned from, at most so many of each class, the first by a hash of doc_id.
 LEARNED = 30_000
-#: Words of the score table, the most telling ones, and the least z-score of one.
+#: Words of the score table, the most telling ones, and the least z-score and log-odds of one.
 TABLE = 50_000
-LEAST_Z = 5.0
+LEAST_Z = 4.0
+LEAST_ODDS = 2.0
 #: Strength of the prior in documents per word, and what every word costs a segment.
-PRIOR = 20.0
+PRIOR = 2.0
 DRIFT = 0.05
 #: Expected number of equal segments in a random text of that length, below which one counts.
-SIGNIFICANT = 0.05
+SIGNIFICANT = 0.5
 TOXIC = 0.7
 #: Lengths of the beginnings that stand for a word, and the mark they carry in the table.
 BEGINNINGS = (6, 5, 4)
@@ -177,7 +178,8 @@ def word_scores(totals: DataFrame, table: int = TABLE) -> list[tuple[str, float,
 
     The prior adds ``PRIOR`` documents to every word, split between the classes like all words,
     so a word that is as frequent in both classes, or rare, scores about 0 whatever the class
-    sizes.  A word counts if its toxic documents are ``LEAST_Z`` deviations from that split.
+    sizes.  A word counts if its toxic documents are ``LEAST_Z`` deviations from that split and its
+    log-odds are at least ``LEAST_ODDS``.
     """
     sums = totals.agg(F.sum("toxic_n"), F.sum("clean_n")).first()
     n1, n0 = float(sums[0] or 0), float(sums[1] or 0)
@@ -187,7 +189,7 @@ def word_scores(totals: DataFrame, table: int = TABLE) -> list[tuple[str, float,
     odds = F.log((F.col("toxic_n") + PRIOR * q) / q) - F.log((F.col("clean_n") + PRIOR * (1 - q)) / (1 - q))
     z = (F.col("toxic_n") - n * q) / F.sqrt(n * q * (1 - q))
     told = totals.select("word", odds.alias("odds"), z.alias("z"), ((F.col("clean_n") + PRIOR * (1 - q)) / n0).alias("clean"))
-    best = told.where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").limit(table)
+    best = told.where((F.abs("z") >= LEAST_Z) & (F.abs("odds") >= LEAST_ODDS)).orderBy(F.abs("z").desc(), "word").limit(table)
     return [(r.word, r.odds, r.clean) for r in best.collect()]
 
 
