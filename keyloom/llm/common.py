@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows and bytes of text that one step of a Python task holds at once.
@@ -47,7 +48,7 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 def blocks(batch: pa.RecordBatch, text: str = "text", rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``size`` bytes of text (or one row) each."""
     col = batch.column(text)
-    lengths = np.array([0 if v is None else v for v in pa.compute.binary_length(col).to_pylist()], dtype=np.int64)
+    lengths = np.array([0 if v is None else v for v in pc.binary_length(col).to_pylist()], dtype=np.int64)
     ends = np.cumsum(lengths)
     start = 0
     while start < len(lengths):

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from keyloom.llm.common import gather, in_batches
+from keyloom.llm.common import in_batches
 from keyloom.plans.ordering import sample_ranges
 
 SEED = 7_919
@@ -35,6 +35,7 @@ BANDS, BAND = 16, 4
 _DEPTHS = (64, 32, 16, 8, 4, 2, 1, 1)
 _BLOCK_CHARS = 12_000_000
 _SIDE_BY_SIDE = 40
+_BROADCAST_RANGES = 200_000
 _RANGE = "__range"
 
 
@@ -183,10 +184,14 @@ def in_order_with_heads(df: DataFrame) -> DataFrame:
     """
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("__id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    placed = sample_ranges(rows, [("__id", False)]).assign(rows, _RANGE)
+    cut = sample_ranges(rows, [("__id", False)])
+    placed = cut.assign(rows, _RANGE)
     firsts = placed.groupBy(_RANGE).agg(F.min("__id").alias("head"))
     along, everything = Window.orderBy(_RANGE), Window.partitionBy()
     heads = firsts.select(F.col(_RANGE).alias("of"), F.coalesce(F.lead("head").over(along), F.min("head").over(everything)).alias("head"))
+    # one row of two numbers per range; how many there are is known
+    if len(cut) <= _BROADCAST_RANGES:
+        heads = F.broadcast(heads)
     # a row per range, and per row that repeats the doc_id at its head
     guests = rows.join(heads, F.col("__id") == F.col("head")).select(*rows.columns, F.col("of").alias(_RANGE), F.lit(1).alias("__guest"))
     all_rows = placed.withColumn("__guest", F.lit(0)).unionByName(guests)

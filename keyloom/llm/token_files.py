@@ -84,8 +84,6 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> None:
         """Put words into the table."""
-        if len(self.words) > _WORDS:
-            self.words.clear()
         if len(self.parts) > _WORDS:
             self.parts = {"": b""}
         plain, other, letters, marks = {}, [], {}, {}
@@ -106,15 +104,12 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        new: set[str] = set()
-        for words in split:
-            new.update(words or ())
-        new.difference_update(self.words)
-        known = self.words
+        known, met = self.words, set().union(*(words for words in split if words))
+        new = {w for w in met if w not in known}
         if len(known) + len(new) > 2 * _WORDS:
             # a table that is emptied now would lose what these texts need
             known.clear()
-            new = {w for words in split for w in words or ()}
+            new = met
         if new:
             self.learn(new)
         table = self.words.__getitem__
