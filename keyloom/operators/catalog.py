@@ -462,7 +462,7 @@ def resolve_recnum(catalog: Catalog, config: DataFrame, default: str = "MDS_RECN
     out = out.join(f, [t[c].eqNullSafe(f[f"__f_{c}"]) for c in ID] + [F.col("field_num") == F.col("__num")], "left")
     filled = config.where((F.upper("section") == "CONFIG") & (F.coalesce(F.col("value"), F.lit("")) != ""))
     per_db = filled.where(F.upper("key").startswith("RECNUM_COLUMN.")).groupBy(
-        F.upper(F.substring("key", len("RECNUM_COLUMN.") + 1, 1000)).alias("__db")
+        F.upper(F.expr(f"substring(key, {len('RECNUM_COLUMN.') + 1})")).alias("__db")
     ).agg(F.max("value").alias("__per_db"))
     general = filled.where(F.upper("key") == "RECNUM_COLUMN").agg(F.max("value")).scalar()
     out = out.join(per_db, F.upper(t["db_name"]) == F.col("__db"), "left")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from keyloom.layout import KeySpec, as_key
 from keyloom.plans.lineage import cut
@@ -153,11 +153,21 @@ def insert_batch(
     return _append(state, settled.where("__ok").select(*rows.columns), order, recnum, identity), report
 
 
-def update(state: DataFrame, changes: DataFrame, recnum: str = "recnum") -> tuple[DataFrame, DataFrame]:
+def update(
+    state: DataFrame, changes: DataFrame, recnum: str = "recnum", sequence: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Replace every column but the record number by the change with that number.
 
-    ``changes`` has one row per record number.  Also returns the changes that match no record.
+    Of several changes for a number the one with the largest ``sequence`` holds (each map task
+    keeps one per number before the shuffle); without a sequence none of them does.  Also returns
+    the changes that were not applied: without a record, repeated, or overtaken by a later one.
     """
+    if sequence is not None:
+        latest = Window.partitionBy(recnum).orderBy(F.col(sequence).desc_nulls_last(), *[F.col(c) for c in changes.columns])
+        ranked = changes.withColumn("__n", F.row_number().over(latest))
+    else:
+        ranked = changes.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(recnum)))
+    changes, others = ranked.where("__n = 1").drop("__n"), ranked.where("__n > 1").drop("__n")
     new = changes.select(
         F.col(recnum).alias("__at"), F.struct(*[c for c in state.columns if c != recnum]).alias("__new")
     )
@@ -168,7 +178,7 @@ def update(state: DataFrame, changes: DataFrame, recnum: str = "recnum") -> tupl
         for c in state.columns
     ]
     found = matching_rows(state, changes, [recnum])
-    return joined.select(*columns), changes.join(found, recnum, "left_anti")
+    return joined.select(*columns), changes.join(found, recnum, "left_anti").unionByName(others)
 
 
 def delete(state: DataFrame, positions: DataFrame, recnum: str = "recnum") -> tuple[DataFrame, DataFrame]:

@@ -194,7 +194,7 @@ def layout_from_columns(columns: DataFrame, recnum: str = "MDS_RECNUM") -> tuple
     are bounded by its schema, so its window is small however many tables there are.
     """
     kind, n = F.lower(F.trim("data_type")), F.coalesce(F.col("max_length"), F.lit(0))
-    short = F.greatest(F.lit(1), F.least(n, F.lit(255)))
+    short = F.greatest(F.lit(1), n)
     # Native type and length by column type.
     native = (
         F.when(kind.isin("int", "smallint", "bigint"), L.INT).when(kind == "tinyint", L.AUTOINC)

@@ -15,9 +15,6 @@ FOUND = 0
 NO_SUCH_KEY = 4
 NO_SUCH_RECORD = 9
 
-# Up to this many probes have their keys turned into literal borders.
-FEW_PROBES = 2048
-
 
 def first_per_key(df: DataFrame, key: KeySpec | str | Sequence[str], recnum: str) -> DataFrame:
     """Oldest record of every key value.  Each map task keeps one row per key before the shuffle."""
@@ -25,9 +22,17 @@ def first_per_key(df: DataFrame, key: KeySpec | str | Sequence[str], recnum: str
     return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n")
 
 
-def _renamed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    hidden = [f"__k{i}" for i in range(len(columns))]
-    return df.select(*[F.col(c).alias(h) for c, h in zip(columns, hidden)], "*"), hidden
+def _record_columns(probes: DataFrame, df: DataFrame, same: dict[str, str], prefix: str) -> dict[str, str]:
+    """Output names of the record columns.
+
+    Without a prefix, a column is left out only where it equals the probe column of its name by
+    the join itself (``same``: record column to probe column); any other clash is an error.
+    """
+    named = {c: prefix + c for c in df.columns if prefix or same.get(c) != c or c not in probes.columns}
+    clash = sorted(set(named.values()) & set(probes.columns))
+    if clash:
+        raise ValueError(f"probes and records share the columns {clash}; give a prefix")
+    return named
 
 
 def lookup_join(
@@ -38,12 +43,15 @@ def lookup_join(
     probe_key: Sequence[str] | None = None,
     recnum: str = "recnum",
     unique: bool = False,
+    prefix: str = "",
+    hit: str | None = None,
 ) -> DataFrame:
     """One match per probe: the oldest record with the probe's key.
 
     ``df`` is cut to one row per key before the join (skipped for a unique key), so a hot
-    key repeats only on the probe side, where adaptive execution splits it.  Probe and
-    record columns must have different names.
+    key repeats only on the probe side, where adaptive execution splits it.  Record columns
+    come as ``prefix + name``; a key column that has its probe column's name is not repeated.
+    ``hit`` names a flag of the probes that found one.
     """
     key = as_key(key)
     probe_cols = list(probe_key or key.columns)
@@ -51,23 +59,30 @@ def lookup_join(
         records = df.select(*key.columns)
     else:
         records = df if unique else first_per_key(df, key, recnum)
-    records, hidden = _renamed(records, key.columns)
-    if how in ("left_semi", "left_anti"):
-        records = records.select(*hidden)
-    on = [F.col(p).eqNullSafe(records[h]) for p, h in zip(probe_cols, hidden)]
+    hidden = [f"__k{i}" for i in range(len(key.columns))]
+    whole = [] if how in ("left_semi", "left_anti") else [F.struct(*[F.col(c) for c in df.columns]).alias("__rec")]
+    records = records.select(*[F.col(c).alias(h) for c, h in zip(key.columns, hidden)], *whole)
+    on = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(probe_cols, hidden)]
     joined = probes.join(records, on, how)
-    if how in ("left_semi", "left_anti"):
+    if not whole:
         return joined
-    overlap = set(probes.columns)
-    return joined.select(*probes.columns, *[records[c] for c in df.columns if c not in overlap])
+    named = _record_columns(probes, df, dict(zip(key.columns, probe_cols)), prefix)
+    flag = [F.col("__rec").isNotNull().alias(hit)] if hit else []
+    return joined.select(*probes.columns, *[F.col("__rec")[c].alias(n) for c, n in named.items()], *flag)
 
 
-def direct_join(positions: DataFrame, df: DataFrame, position: str = "position", recnum: str = "recnum") -> DataFrame:
-    """The record at every position, with ``status`` 0, or 9 where there is none."""
-    records = df.withColumn("__hit", F.lit(True))
-    joined = positions.join(records, F.col(position) == records[recnum], "left")
-    status = F.when(F.col("__hit"), F.lit(FOUND)).otherwise(F.lit(NO_SUCH_RECORD))
-    return joined.select(*positions.columns, *[records[c] for c in df.columns if c not in positions.columns], status.alias("status"))
+def direct_join(
+    positions: DataFrame, df: DataFrame, position: str = "position", recnum: str = "recnum", prefix: str = ""
+) -> DataFrame:
+    """The record at every position, with ``status`` 0, or 9 where there is none.
+
+    Positions may carry the record number that ``get_position`` returns beside them.
+    """
+    records = df.select(F.col(recnum).alias("__at"), F.struct(*[F.col(c) for c in df.columns]).alias("__rec"))
+    joined = positions.join(records, F.col(position) == F.col("__at"), "left")
+    status = F.when(F.col("__rec").isNotNull(), F.lit(FOUND)).otherwise(F.lit(NO_SUCH_RECORD))
+    named = _record_columns(positions, df, {recnum: recnum}, prefix)
+    return joined.select(*positions.columns, *[F.col("__rec")[c].alias(n) for c, n in named.items()], status.alias("status"))
 
 
 def nearest_join(
@@ -82,6 +97,7 @@ def nearest_join(
     take: Sequence[str] | None = None,
     prefix: str = "",
     ranges: int | None = None,
+    few_probes: bool = False,
 ) -> DataFrame:
     """For every probe the nearest record with key ``>``, ``>=``, ``<`` or ``<=`` in key order.
 
@@ -89,11 +105,16 @@ def nearest_join(
     probe.  ``>``/``>=`` find the oldest of equal keys, ``<``/``<=`` the newest.  The order is
     cut into ranges on the full sort key, so neither a hot group nor a hot key value ends
     up in one task.  ``take`` columns are returned as ``prefix + name``; ``status`` is 0 or 9.
+    ``few_probes`` says that the probe keys fit the driver: they become the borders, and records
+    are cut to one per gap in the map tasks.  The rows are the same either way.
     """
     if op not in (">", ">=", "<", "<="):
         raise ValueError(f"unknown nearest comparison {op!r}")
     key = as_key(key)
     take = list(take or df.columns)
+    clash = sorted({prefix + c for c in take} & set(probes.columns))
+    if clash:
+        raise ValueError(f"probes and records share the columns {clash}; give a prefix")
     probe_cols = list(probe_by or by) + list(probe_key or key.columns)
     record_cols = list(by) + key.columns
     desc = [False] * len(by) + [s.descending for s in key.segments]
@@ -107,9 +128,9 @@ def nearest_join(
         F.col(recnum).cast("long").alias("__tie"),
         F.struct(*[F.col(c).alias(c) for c in take]).alias("__rec"),
     )
-    borders = _probe_borders(probes, probe_cols, hidden, desc)
-    if borders is not None:
-        records = _nearest_to_borders(records, borders, op)
+    if few_probes:
+        keys = probes.select(*[F.col(c).alias(h) for c, h in zip(probe_cols, hidden)])
+        records = _nearest_to_borders(records, borders_of(keys.distinct(), list(zip(hidden, desc))), op)
     # the tie spreads equal probes over ranges; it is stable for a recomputed input partition
     tie = F.xxhash64(*probe_cols, *probes.columns, F.spark_partition_id())
     asked = probes.select(
@@ -133,14 +154,6 @@ def nearest_join(
     )
 
 
-def _probe_borders(probes: DataFrame, cols: Sequence[str], hidden: Sequence[str], desc: Sequence[bool]) -> KeyRanges | None:
-    """The probe keys as range borders, when there are few; the check stops one row beyond the limit."""
-    keys = probes.select(*[F.col(c).alias(h) for c, h in zip(cols, hidden)])
-    if keys.limit(FEW_PROBES + 1).count() > FEW_PROBES:
-        return None
-    return borders_of(keys.distinct(), list(zip(hidden, desc)))
-
-
 def _nearest_to_borders(records: DataFrame, borders: KeyRanges, op: str) -> DataFrame:
     """Only the record next to each probe key matters: one per gap and map task is shuffled."""
     placed = borders.assign(records, "__gap", strict=op in (">", "<="))

@@ -22,8 +22,8 @@ from keyloom.plans.ordering import row_numbers, with_neighbour
 
 Key = KeySpec | str | Sequence[str]
 
-# Fixed value: rows of an extended read that names no limit.
-UNLIMITED = 65_535
+# Fixed value: the most rows that one extended read of the record manager returns; a caller may ask for it.
+MOST_ROWS = 65_535
 
 
 def order_by_key(df: DataFrame, key: Key, recnum: str | None = "recnum", backward: bool = False) -> DataFrame:
@@ -52,26 +52,26 @@ def _one(df: DataFrame, key: Key, op: str, value: Sequence, recnum: str) -> Data
 def get_equal(
     df: DataFrame, key: Key, value: Sequence | None = None, probes: DataFrame | None = None,
     probe_key: Sequence[str] | None = None, recnum: str = "recnum", keys_only: bool = False, unique: bool = False,
+    prefix: str = "",
 ) -> DataFrame:
     """Oldest record with the key; for ``probes`` one row each, ``status`` 0 or 4."""
     df = _keys(df, key, recnum, keys_only)
     if probes is None:
         return _one(df, key, "=", value, recnum)
-    found = lookup_join(probes, df, key, "left", probe_key, recnum, unique)
-    status = F.when(F.col(recnum).isNull(), F.lit(NO_SUCH_KEY)).otherwise(F.lit(FOUND))
-    return found.withColumn("status", status)
+    found = lookup_join(probes, df, key, "left", probe_key, recnum, unique, prefix, hit="__found")
+    return found.withColumn("status", F.when(F.col("__found"), F.lit(FOUND)).otherwise(F.lit(NO_SUCH_KEY))).drop("__found")
 
 
 def _nearest(op: str, doc: str):
     def get(
         df: DataFrame, key: Key, value: Sequence | None = None, probes: DataFrame | None = None,
         by: Sequence[str] = (), probe_key: Sequence[str] | None = None, probe_by: Sequence[str] | None = None,
-        recnum: str = "recnum", keys_only: bool = False, prefix: str = "", ranges: int | None = None,
+        recnum: str = "recnum", keys_only: bool = False, prefix: str = "", ranges: int | None = None, few_probes: bool = False,
     ) -> DataFrame:
         df = _keys(df, key, recnum, keys_only, by)
         if probes is None:
             return _one(df, key, op, value, recnum)
-        return nearest_join(probes, df, key, op, by, probe_key, probe_by, recnum, None, prefix, ranges)
+        return nearest_join(probes, df, key, op, by, probe_key, probe_by, recnum, None, prefix, ranges, few_probes)
 
     get.__doc__ = doc
     return get
@@ -137,11 +137,15 @@ def previous_before(df: DataFrame, key: Key, cursor: Cursor, recnum: str = "recn
     return top_n(df, 1, key, after_cursor(key, cursor, recnum, backward=True), recnum, backward=True)
 
 
-def page_rows(max_records: int, byte_budget: int | None = None, record_bytes: int | None = None) -> int:
-    """Rows of one page: the asked number, less when the answer (2 + 6 per row + data) must fit a budget."""
-    n = max_records if max_records > 0 else UNLIMITED
+def page_rows(max_records: int, byte_budget: int | None = None, record_bytes: int | None = None) -> int | None:
+    """Rows of one page: the asked number, less when the answer (2 + 6 per row + data) must fit a budget.
+
+    None stands for all rows: no number is asked and there is no budget.
+    """
+    n = max_records if max_records > 0 else None
     if byte_budget is not None:
-        n = min(n, max(0, (byte_budget - 2) // (6 + record_bytes)))
+        fitting = max(0, (byte_budget - 2) // (6 + record_bytes))
+        n = fitting if n is None else min(n, fitting)
     return n
 
 
@@ -154,7 +158,9 @@ def _page(
     wanted = where_terms(terms)
     if cursor is not None:
         wanted = after_cursor(key, cursor, recnum, backward) & wanted
-    page = order_by_key(df.where(wanted), key, recnum, backward).limit(n)
+    page = order_by_key(df.where(wanted), key, recnum, backward)
+    if n is not None:
+        page = page.limit(n)
     if extract is None:
         return page
     return page.select(*as_key(key).columns, recnum, extract_ranges(rec, extract).alias("data"))
@@ -206,8 +212,11 @@ def rank_in_order(
 
 
 def preview(df: DataFrame, where: str | None = None, limit: int = 50, offset: int = 0, recnum: str = "recnum") -> DataFrame:
-    """One page of rows for display, at most 1000; ``truncated`` marks a full page."""
-    limit = max(1, min(limit, 1000))
+    """One page of ``limit`` rows for display; ``truncated`` marks a full page.
+
+    Page and offset go through one task: for a place far into a table use ``page_next`` and its cursor.
+    """
+    limit = max(1, limit)
     kept = df.where(where) if where and where.strip() else df
     page = kept.orderBy(F.col(recnum).asc_nulls_first()).offset(offset).limit(limit)
     # the page itself is the window's whole input

@@ -13,7 +13,7 @@ from keyloom.operators.joins import direct_join
 from keyloom.plans.lineage import cut
 from keyloom.plans.ordering import row_numbers
 
-# Rows of a filtered step that names no limit, and its upper bound.
+# Rows that one filtered step of the record manager returns by default and at most; a caller may ask for them.
 STEP_DEFAULT = 256
 STEP_MAX = 1024
 
@@ -28,20 +28,19 @@ def step_last(df: DataFrame, recnum: str = "recnum") -> DataFrame:
     return df.orderBy(F.col(recnum).desc()).limit(1)
 
 
-def step_next(df: DataFrame, after: int | None, n: int = 1, recnum: str = "recnum") -> DataFrame:
-    """The next ``n`` records behind a record number."""
-    kept = df if after is None else df.where(F.col(recnum) > after)
-    return kept.orderBy(F.col(recnum).asc()).limit(n)
+def step_next(df: DataFrame, after: int | None, n: int | None = 1, recnum: str = "recnum") -> DataFrame:
+    """The next ``n`` records behind a record number; all of them for None."""
+    kept = (df if after is None else df.where(F.col(recnum) > after)).orderBy(F.col(recnum).asc())
+    return kept if n is None else kept.limit(n)
 
 
-def step_previous(df: DataFrame, before: int | None, n: int = 1, recnum: str = "recnum") -> DataFrame:
-    kept = df if before is None else df.where(F.col(recnum) < before)
-    return kept.orderBy(F.col(recnum).desc()).limit(n)
+def step_previous(df: DataFrame, before: int | None, n: int | None = 1, recnum: str = "recnum") -> DataFrame:
+    kept = (df if before is None else df.where(F.col(recnum) < before)).orderBy(F.col(recnum).desc())
+    return kept if n is None else kept.limit(n)
 
 
 def _step_page(step, df, place, max_records, terms, extract, recnum, rec) -> DataFrame:
-    n = min(max_records, STEP_MAX) if max_records > 0 else STEP_DEFAULT
-    page = step(df.where(where_terms(terms)), place, n, recnum)
+    page = step(df.where(where_terms(terms)), place, max_records if max_records > 0 else None, recnum)
     if extract is None:
         return page
     return page.select(recnum, extract_ranges(rec, extract).alias("data"))
@@ -77,10 +76,16 @@ def assign_recnum(
     return row_numbers(arrived, [("__arrival", False)], name, start=start, ranges=ranges).drop("__arrival")
 
 
-def get_position(df: DataFrame, where: Column | None = None, recnum: str = "recnum") -> DataFrame:
-    """Position tokens of the selected records: the low 32 bits of the record number."""
+def get_position(df: DataFrame, where: Column | None = None, recnum: str = "recnum", low32: str | None = None) -> DataFrame:
+    """Position tokens of the selected records: the record number in full.
+
+    ``low32`` names an extra column with its low 32 bits, the form of four-byte callers; it is no
+    position, as record numbers that differ above bit 31 share it.
+    """
     kept = df if where is None else df.where(where)
-    return kept.select(recnum, F.col(recnum).cast("long").bitwiseAND(F.expr("4294967295L")).alias("position"))
+    number = F.col(recnum).cast("long")
+    short = [number.bitwiseAND(F.expr("4294967295L")).alias(low32)] if low32 else []
+    return kept.select(recnum, number.alias("position"), *short)
 
 
 def get_direct(positions: DataFrame, df: DataFrame, position: str = "position", recnum: str = "recnum") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Rows per insert statement, and rows of an ad-hoc query.
+# Rows per insert statement, and rows that the record manager shows of an ad-hoc query; a caller may ask for them.
 INSERT_BATCH = 200
 QUERY_LIMIT = 256
 
@@ -49,12 +49,14 @@ class QueryText:
     def set(self, sql: str) -> None:
         self.last = sql
 
-    def run(self, sql: str | None = None, limit: int = QUERY_LIMIT) -> DataFrame:
+    def run(self, sql: str | None = None, limit: int | None = None) -> DataFrame:
         self.last = sql or self.last
         if self.last is None:
             raise ValueError("no query text is set")
-        return rows_as_text(self.spark.sql(self.last).limit(limit))
+        rows = self.spark.sql(self.last)
+        return rows_as_text(rows if limit is None else rows.limit(limit))
 
 
-def query_text(spark: SparkSession, sql: str, limit: int = QUERY_LIMIT) -> DataFrame:
+def query_text(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
+    """The rows of an SQL text, all of them unless ``limit`` is given."""
     return QueryText(spark).run(sql, limit)

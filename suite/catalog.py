@@ -452,7 +452,7 @@ _KINDS = "CASE num % 7 WHEN 0 THEN 'varchar' WHEN 1 THEN 'int' WHEN 2 THEN 'bigi
     c AS (SELECT 'T' || l_orderkey AS table_name, num AS ordinal, {_KINDS} AS kind, CAST(l_quantity AS INTEGER) * 8 AS maxlen FROM ln WHERE num <> 2),
     z AS (SELECT *, CASE kind WHEN 'int' THEN 1 WHEN 'bigint' THEN 1 WHEN 'bit' THEN 7 WHEN 'datetime2' THEN 3 ELSE 0 END AS native_type,
       CASE kind WHEN 'int' THEN 4 WHEN 'bigint' THEN 8 WHEN 'bit' THEN 1 WHEN 'datetime2' THEN 8 WHEN 'char' THEN greatest(maxlen, 1)
-        ELSE greatest(1, least(maxlen, 255)) END AS length FROM c)
+        ELSE greatest(1, maxlen) END AS length FROM c)
     SELECT table_name, row_number() OVER w AS num, 'Col' || ordinal AS name, native_type, length,
       CAST(sum(length) OVER w - length AS INTEGER) AS "offset" FROM z WINDOW w AS (PARTITION BY table_name ORDER BY ordinal)""",
 )

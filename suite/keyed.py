@@ -368,6 +368,15 @@ def _step_page(name, fn, cond, direction):
         ORDER BY recnum {direction} LIMIT 256""",
     )
     def run(spark, sf):
+        lines = physical.assign_recnum(table(spark, sf, "lineitem"), LINE_ORDER)
+        return fn(lines, 3000, physical.STEP_DEFAULT, STEP_TERMS).select("recnum", "l_orderkey", "l_quantity")
+
+    @S.add(
+        f"{name}_all",
+        f"SELECT recnum, l_orderkey, l_quantity FROM {_LINES} WHERE {cond} AND {_STEP_COND}",
+    )
+    def run_all(spark, sf):
+        """Without a number: every record on that side, more than one step ever returned."""
         lines = physical.assign_recnum(table(spark, sf, "lineitem"), LINE_ORDER)
         return fn(lines, 3000, terms=STEP_TERMS).select("recnum", "l_orderkey", "l_quantity")
 
@@ -378,7 +387,7 @@ _step_page("step_page_previous", physical.step_page_previous, "recnum < 3000", "
 
 @S.add(
     "get_position",
-    "SELECT o_orderkey AS recnum, o_orderkey & 4294967295 AS position FROM orders WHERE o_orderstatus = 'P'",
+    "SELECT o_orderkey AS recnum, o_orderkey AS position FROM orders WHERE o_orderstatus = 'P'",
 )
 def position(spark, sf):
     return physical.get_position(orders(spark, sf), F.col("o_orderstatus") == "P")
@@ -463,3 +472,35 @@ def top(spark, sf):
 def preview(spark, sf):
     page = keyed.preview(table(spark, sf, "part"), "p_size > 10", 50, 100, "p_partkey")
     return page.select("p_partkey", "p_name", "p_size", "truncated")
+
+
+@S.add(
+    "page_next_all",
+    "SELECT recnum, l_orderkey, l_linenumber FROM (SELECT l_orderkey * 8 + l_linenumber AS recnum, * FROM lineitem)",
+)
+def page_all(spark, sf):
+    """A page without a number holds every record."""
+    lines = table(spark, sf, "lineitem").withColumn("recnum", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return keyed.page_next(lines, ["l_orderkey", "l_linenumber"], None).select("recnum", "l_orderkey", "l_linenumber")
+
+
+@S.add(
+    "get_equal_same_names",
+    """SELECT c.o_custkey, r.o_orderkey AS recnum, r.o_totalprice, CASE WHEN r.o_orderkey IS NULL THEN 4 ELSE 0 END AS status
+    FROM (SELECT c_custkey AS o_custkey FROM customer) c
+    LEFT JOIN (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1) r ON c.o_custkey = r.o_custkey""",
+)
+def equal_same_names(spark, sf):
+    """The default call: probe and record key have the same name."""
+    probes = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return keyed.get_equal(orders(spark, sf).select("recnum", "o_custkey", "o_totalprice"), ["o_custkey"], probes=probes)
+
+
+@S.add(
+    "get_position_then_direct",
+    "SELECT o_orderkey AS recnum, o_orderkey AS position, o_totalprice, 0 AS status FROM orders WHERE o_orderstatus = 'P'",
+)
+def position_then_direct(spark, sf):
+    df = orders(spark, sf).select("recnum", "o_totalprice", "o_orderstatus")
+    found = physical.get_direct(physical.get_position(df, F.col("o_orderstatus") == "P"), df)
+    return found.select("recnum", "position", "o_totalprice", "status")

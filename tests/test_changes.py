@@ -187,3 +187,12 @@ def test_key_statistics(spark):
     bare = Layout.build("t", [("a", 1, 4)])
     only = stats.file_stat(df, bare).collect()
     assert len(only) == 1 and only[0].record_count == 4 and only[0].key_number is None
+
+
+def test_update_with_repeated_numbers(spark):
+    state = spark.createDataFrame([(1, "a"), (2, "b")], "recnum long, v string")
+    asked = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "z", 1), (9, "n", 1)], "recnum long, v string, seq int")
+    done, left = changes.update(state, asked, sequence="seq")
+    assert rows(done) == [(1, "y"), (2, "z")] and rows(left) == [(1, "x", 1), (9, "n", 1)]
+    done, left = changes.update(state, asked)
+    assert rows(done) == [(1, "a"), (2, "z")] and rows(left) == [(1, "x", 1), (1, "y", 2), (9, "n", 1)]

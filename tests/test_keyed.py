@@ -39,7 +39,7 @@ def test_page_projects_byte_ranges(cust):
     page = keyed.page_next(enc, ["CUST_ID"], Cursor(("A0001",), 1), 5, extract=[(8, 0)])
     assert [bytes(r.data) for r in page.collect()] == [f"A000{i}   ".encode() for i in range(2, 7)]
     assert keyed.page_cursor(page, ["CUST_ID"]) == Cursor(("A0006",), 6)
-    assert keyed.page_rows(0) == 65535 and keyed.page_rows(50, 100, 8) == 7 and keyed.page_rows(3, 100, 8) == 3
+    assert keyed.page_rows(0) is None and keyed.page_rows(0, 100, 8) == 7 and keyed.page_rows(50, 100, 8) == 7 and keyed.page_rows(3, 100, 8) == 3
     back = keyed.page_previous(enc, ["CUST_ID"], Cursor(("A0003",), 3), 5)
     assert one(back) == ["A0002", "A0001"]
 
@@ -101,12 +101,11 @@ def _place(values, desc):
 
 @pytest.mark.parametrize("op", [">", ">=", "<", "<="])
 @pytest.mark.parametrize("by", [(), ("grp",)])
-@pytest.mark.parametrize("few", [2048, 0])
-def test_nearest_join_matches_loop(messy, monkeypatch, op, by, few):
-    monkeypatch.setattr(joins, "FEW_PROBES", few)
+@pytest.mark.parametrize("few", [True, False])
+def test_nearest_join_matches_loop(messy, op, by, few):
     probes = messy.select(F.col("recnum").alias("pid"), "grp", F.col("a").alias("pa"), F.col("b").alias("pb"))
     got = joins.nearest_join(
-        probes, messy, KeySpec.of("a", "-b"), op, by, ["pa", "pb"], take=["recnum"], ranges=9
+        probes, messy, KeySpec.of("a", "-b"), op, by, ["pa", "pb"], take=["recnum"], ranges=9, few_probes=few
     ).select("pid", "recnum", "status")
     table, desc = messy.collect(), (False, True)
     want = []
@@ -186,3 +185,33 @@ def test_exists_and_ranks(messy):
 def test_arrival_numbers_are_dense(messy):
     got = physical.assign_recnum(messy.drop("recnum"), start=100).agg(F.min("recnum"), F.max("recnum"), F.count_distinct("recnum"))
     assert tuple(got.first()) == (100, 499, 400)
+
+
+def test_nothing_is_cut_when_no_number_is_asked(spark):
+    wide = spark.range(70_000).select(F.col("id").alias("recnum"), (F.col("id") % 7).alias("a"))
+    assert keyed.page_next(wide, ["a"], None).count() == 70_000
+    assert physical.step_page_next(wide, None).count() == 70_000 and physical.step_page_next(wide, None, 5000).count() == 5000
+    shown = keyed.preview(wide, None, 1500)
+    assert shown.count() == 1500 and shown.where("truncated").count() == 1500
+
+
+def test_positions_past_32_bits(spark):
+    far = spark.createDataFrame([(1, "a"), (2**32 + 1, "b")], "recnum long, v string")
+    positions = physical.get_position(far, low32="short")
+    assert rows(positions) == [(1, 1, 1), (2**32 + 1, 2**32 + 1, 1)]
+    assert rows(physical.get_direct(physical.get_position(far), far), "recnum", "position", "v", "status") == [
+        (1, 1, "a", 0), (2**32 + 1, 2**32 + 1, "b", 0),
+    ]
+
+
+def test_lookup_with_equal_names(spark):
+    df = spark.createDataFrame([(1, 5, "x"), (2, 5, "y"), (3, 6, None)], "recnum long, k int, v string")
+    probes = spark.createDataFrame([(5, 70), (6, 71), (7, 72)], "k int, recnum long")
+    with pytest.raises(ValueError):
+        keyed.get_equal(df, ["k"], probes=probes)
+    got = keyed.get_equal(df, ["k"], probes=probes, prefix="r_")
+    assert rows(got, "k", "recnum", "r_recnum", "r_k", "r_v", "status") == [(5, 70, 1, 5, "x", 0), (6, 71, 3, 6, None, 0), (7, 72, None, None, None, 4)]
+    plain = keyed.get_equal(df, ["k"], probes=probes.select("k"))
+    assert plain.columns == ["k", "recnum", "v", "status"] and rows(plain, "k", "recnum", "status") == [(5, 1, 0), (6, 3, 0), (7, None, 4)]
+    with pytest.raises(ValueError):
+        joins.nearest_join(probes, df, ["k"], ">=", probe_key=["k"])
