@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder; a temporary one only in local mode, where none need be set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="keyloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and re.fullmatch(r"local(\[.*\])?", sc.master) is None:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="keyloom-"))
         current = sc.getCheckpointDir()
     return current
 

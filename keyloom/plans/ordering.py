@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from keyloom.functions.predicates import Order, sort_columns
 
-# The border frame has at most this many rows: that bounds every broadcast below.
-MAX_RANGES = 8192
+# Ranges follow the rows.  Frames with a row per range are broadcast up to this many ranges.
+BROADCAST_RANGES = 100_000
 ROWS_PER_RANGE = 1_000_000
+# Sampled keys per range; fewer where there are many ranges, as the driver holds the sample.
 SAMPLE_PER_RANGE = 24
+MANY_RANGES, SAMPLE_PER_MANY = 8192, 6
 _SMALL_RANGE_ROWS = 2_000
 _RANGES_PER_PARTITION = 4
 _TREE_BORDERS = 63
@@ -81,7 +83,7 @@ class KeyRanges:
         stride = math.ceil(len(self.borders) / _TREE_BORDERS)
         coarse = list(enumerate(self.borders))[stride - 1 :: stride]
         tree = self._tree([(i, b) for i, (_, b) in enumerate(coarse)], 0, strict)
-        fine = F.broadcast(self._fine_ranges(df, [i for i, _ in coarse]))
+        fine = _per_range(self._fine_ranges(df, [i for i, _ in coarse]), self)
         row = [f"`{c}`" for c, _ in self.order]
         lo = [f"__lo{i}" for i in range(len(row))]
         hi = [f"__hi{i}" for i in range(len(row))]
@@ -123,6 +125,11 @@ class KeyRanges:
         return _border_frame(df, head, rows, names, self.types * 2)
 
 
+def _per_range(frame: DataFrame, ranges: KeyRanges) -> DataFrame:
+    """A frame with at most a row or two per range: broadcast while that is known to be few."""
+    return F.broadcast(frame) if len(ranges) <= BROADCAST_RANGES else frame
+
+
 def _border_frame(df: DataFrame, head: str, rows: list[tuple], names: list[str], types) -> DataFrame:
     """A frame of border values; they travel as text and are cast back inside Spark."""
     fixed = head.count(",") + 1
@@ -157,7 +164,7 @@ def sample_ranges(df: DataFrame, order: Order, ranges: int | None = None) -> Key
     """Cut ``order`` into ranges of about equal row count.
 
     Runs a count and a sampling job over the sort columns only; the sample brought to the
-    driver has about ``SAMPLE_PER_RANGE`` keys per range whatever the table size.
+    driver has about ``SAMPLE_PER_RANGE`` keys per range.
     """
     keys = df.select(*dict.fromkeys(c for c, _ in order))
     types = tuple(keys.schema[c].dataType for c, _ in order)
@@ -168,10 +175,10 @@ def sample_ranges(df: DataFrame, order: Order, ranges: int | None = None) -> Key
             math.ceil(rows / ROWS_PER_RANGE),
             min(width * _RANGES_PER_PARTITION, math.ceil(rows / _SMALL_RANGE_ROWS)),
         )
-    ranges = max(1, min(ranges, MAX_RANGES))
+    ranges = max(1, ranges)
     if ranges == 1 or rows == 0:
         return KeyRanges(order, types, ())
-    fraction = min(1.0, ranges * SAMPLE_PER_RANGE / rows)
+    fraction = min(1.0, ranges * (SAMPLE_PER_RANGE if ranges <= MANY_RANGES else SAMPLE_PER_MANY) / rows)
     sample = keys if fraction == 1.0 else keys.sample(fraction=fraction, seed=17)
     ordered = sample.orderBy(*sort_columns(order)).select(*[_key_values(c, t) for (c, _), t in zip(order, types)])
     picked = [tuple(r) for r in ordered.collect()]
@@ -208,7 +215,7 @@ def _carried_edges(df: DataFrame, edges: DataFrame, ranges: KeyRanges, backward:
 
     The window has no partitioning, its input has one row per range.
     """
-    steps = _all_ranges(df, ranges).join(F.broadcast(edges), _BUCKET, "left")
+    steps = _all_ranges(df, ranges).join(_per_range(edges, ranges), _BUCKET, "left")
     side = F.col(_BUCKET).desc() if backward else F.col(_BUCKET).asc()
     w = Window.orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
     return steps.select(_BUCKET, F.last("__edge", ignorenulls=True).over(w).alias("__edge"))
@@ -241,7 +248,7 @@ def with_neighbour(
     if len(cut) > 1:
         edges = _edge_rows(df, cut, order, packed, last=backward)
         carried = _carried_edges(df, edges, cut, backward=not backward)
-        out = out.join(F.broadcast(carried), _BUCKET, "left")
+        out = out.join(_per_range(carried, cut), _BUCKET, "left")
         near = F.coalesce("__near", "__edge")
     else:
         near = F.col("__near")
@@ -280,7 +287,7 @@ def with_carried(
     if len(cut) > 1:
         edges = _edge_rows(df, cut, order, packed, last=not backward, where=present)
         carried = _carried_edges(df, edges, cut, backward)
-        out = out.join(F.broadcast(carried), _BUCKET, "left")
+        out = out.join(_per_range(carried, cut), _BUCKET, "left")
         out = out.withColumn("__near", F.coalesce("__near", "__edge"))
     same = _same_group(by, F.col("__near"))
     return out.select(
@@ -312,24 +319,24 @@ def row_numbers(
         counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__count"))
         running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select(_BUCKET, F.coalesce(F.sum("__count").over(running), F.lit(0)).alias("__base"))
-        out = local.join(F.broadcast(offsets), _BUCKET, "left")
+        out = local.join(_per_range(offsets, cut), _BUCKET, "left")
     else:
         pairs = [f"__b_{c}" for c in by]
         open_rows = _border_groups(df, cut, by)
         tail = (
             placed.select(_BUCKET, *by)
-            .join(F.broadcast(open_rows), _BUCKET)
+            .join(_per_range(open_rows, cut), _BUCKET)
             .where(_matches(by, pairs))
             .groupBy(_BUCKET)
             .agg(F.count(F.lit(1)).alias("__count"))
         )
         running = Window.partitionBy(*pairs).orderBy(_BUCKET)
-        offsets = open_rows.join(F.broadcast(tail), _BUCKET, "left").select(
+        offsets = open_rows.join(_per_range(tail, cut), _BUCKET, "left").select(
             (F.col(_BUCKET) + 1).alias(_BUCKET),
             *pairs,
             F.sum(F.coalesce("__count", F.lit(0))).over(running).alias("__base"),
         )
-        out = local.join(F.broadcast(offsets), _BUCKET, "left").withColumn(
+        out = local.join(_per_range(offsets, cut), _BUCKET, "left").withColumn(
             "__base", F.when(_matches(by, pairs), F.col("__base"))
         )
     return out.select(
