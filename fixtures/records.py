@@ -8,55 +8,80 @@ from keyloom import layout as L
 from keyloom.layout import KeySpec, Layout
 
 CUST = Layout.build(
-    "TEST_CUST",
-    [("CUST_ID", L.STRING, 8), ("CUST_NAME", L.STRING, 30), ("CITY", L.STRING, 20), ("STATE", L.STRING, 2),
-     ("BALANCE", L.DECIMAL, 8), ("ACTIVE", L.LOGICAL, 1), ("CREATED", L.DATE, 4)],
-    [KeySpec.of("CUST_ID", num=1, duplicates=False), KeySpec.of("CUST_NAME", num=2)],
+    "TEST_VENDOR",
+    [("VENDOR", L.STRING, 8), ("TITLE", L.STRING, 24), ("TOWN", L.STRING, 12), ("AREA", L.STRING, 2),
+     ("CREDIT", L.DECIMAL, 8), ("OPEN", L.LOGICAL, 1), ("SINCE", L.DATE, 4)],
+    [KeySpec.of("VENDOR", num=1, duplicates=False), KeySpec.of("TITLE", num=2)],
 )
-CUST_ROWS = """A0001|ACME INDUSTRIES|SPRINGFIELD|IL|100000|1|2024-01-15
-A0002|BETA CORP|PORTLAND|OR|250050|1|2024-02-20
-A0003|CRANE WORKS|AUSTIN|TX|75000|1|2024-03-10
-A0004|DELTA SHIPPING|MIAMI|FL|500000|0|2024-04-05
-A0005|ECHO SOFTWARE|SEATTLE|WA|1250075|1|2024-05-12
-A0006|FOXTROT LLC|DENVER|CO|25025|1|2024-06-18
-A0007|GOLF PARTNERS|PHOENIX|AZ|0|0|2024-07-22
-A0008|HOTEL MANAGEMENT|LAS VEGAS|NV|875040|1|2024-08-30
-A0009|INDIA BATCH|BOSTON|MA|320000|1|2024-09-14
-A0010|JULIET FURNITURE|ATLANTA|GA|99999|1|2024-10-25"""
+CUST_ROWS = [
+    ("V-101", "Tinplate Union", "Gouda", "ZH", 4400, True, "2019-02-03"),
+    ("V-102", "Quill and Vane", "Bergen", "NO", 981, True, "2019-05-28"),
+    ("V-103", "Orchard Pumps", "Ghent", "OV", 70125, False, "2020-11-09"),
+    ("V-104", "Marl Brothers", "Lund", "SK", 0, True, "2020-12-31"),
+    ("V-105", "Osier Baskets", "Vaasa", "FI", 66, True, "2021-06-17"),
+    ("V-106", "Quill and Vane", "Turku", "FI", 120003, False, "2021-07-01"),
+    ("V-107", "Lantern Supply", "Aarhus", "DK", 5550, True, "2022-03-22"),
+    ("V-108", "Copperwell", "Leuven", "VB", 31, True, "2022-08-14"),
+    ("V-109", "Saltmarsh Ropes", "Emden", "NI", 908070, False, "2023-01-05"),
+    ("V-110", "Thimble Works", "Delft", "ZH", 12, True, "2023-10-10"),
+]
 
+#: A key of three segments, and a descending one.
 MULTI = Layout.build(
-    "TEST_MULTI", [("REGION", 0, 4), ("DEPT", 0, 4), ("SUB_CODE", 0, 6), ("VALUE", 1, 4)],
-    [KeySpec.of("REGION", "DEPT", "SUB_CODE", num=1, duplicates=False), KeySpec.of("-VALUE", num=2)],
+    "TEST_SHELF", [("HALL", 0, 4), ("RACK", 0, 4), ("BIN", 0, 6), ("WEIGHT", 1, 4)],
+    [KeySpec.of("HALL", "RACK", "BIN", num=1, duplicates=False), KeySpec.of("-WEIGHT", num=2)],
 )
-MULTI_ROWS = """WEST|ENG|BETA|500 EAST|OPS|ALPHA|900 SOUT|ENG|ALPHA|100 WEST|OPS|ALPHA|750 EAST|ENG|BETA|300
-SOUT|OPS|BETA|450 WEST|ENG|ALPHA|200 EAST|ENG|ALPHA|600 SOUT|OPS|ALPHA|850 WEST|OPS|BETA|150 EAST|OPS|BETA|400 SOUT|ENG|BETA|700"""
+MULTI_ROWS = [
+    ("OAK", "R2", "b1", 31), ("ASH", "R1", "b2", 77), ("OAK", "R1", "b1", 12), ("ELM", "R1", "b1", 58), ("ASH", "R1", "b1", 90),
+    ("ELM", "R2", "b3", 5), ("ASH", "R3", "b1", 64), ("OAK", "R1", "b2", 83), ("ELM", "R1", "b2", 46),
+]
 
-DESC = Layout.build("TEST_DESC", [("RANK_VAL", 1, 4), ("LABEL", 0, 8)], [KeySpec.of("-RANK_VAL")])
-DESC_ROWS = [(50, "fifty"), (20, "twenty"), (80, "eighty"), (10, "ten"), (60, "sixty"), (30, "thirty"), (70, "seventy"), (40, "forty")]
+DESC = Layout.build("TEST_SCORE", [("SCORE", 1, 4), ("LABEL", 0, 8)], [KeySpec.of("-SCORE")])
+DESC_ROWS = [(14, "n"), (3, "c"), (27, "z"), (9, "i"), (21, "u")]
 
-LEDGER_TEXT = """DRIVER_NAME SQL_DRV
-TABLE_NAME BKGLTRAN
+#: A layout text with defaults, a descending segment, a null byte and a unique key.
+STOCK_TEXT = """DRIVER_NAME SQL_DRV
+TABLE_NAME STOCKMOV
 SCHEMA_NAME
-DATABASE_SPACE_NAME LEDGER
-LOGICAL_RECORD_LENGTH 74
-NUMBER_DF_FIELDS 10
+DATABASE_SPACE_NAME DEPOT
+LOGICAL_RECORD_LENGTH 41
+NUMBER_DF_FIELDS 6
 PRIMARY_INDEX 0
 LOCAL_CACHE YES
 
 FIELD_NUMBER 1
-FIELD_NAME BKGL_TRN_KEY
+FIELD_NAME MOVE_KEY
 FIELD_NATIVE_TYPE 0
-FIELD_NATIVE_LENGTH 18
+FIELD_NATIVE_LENGTH 14
 FIELD_NATIVE_OFFSET 0
 FIELD_INDEX 1
-""" + "".join(
-    f"FIELD_NUMBER {n}\nFIELD_NAME {name}\nFIELD_NATIVE_TYPE {t}\nFIELD_NATIVE_LENGTH {l}\nFIELD_NATIVE_OFFSET {o}\n{extra}\n"
-    for n, name, t, l, o, extra in [
-        (2, "GLACCT", 0, 10, 0, ""), (3, "GLDPT", 0, 4, 10, ""), (4, "DATE", 3, 4, 14, "FIELD_DEFAULT_VALUE 0001-01-01"),
-        (5, "AMOUNT", 2, 8, 18, "FIELD_DEFAULT_VALUE 0"), (6, "NOTE", 0, 30, 26, ""), (7, "BATCH", 1, 4, 56, ""),
-        (8, "USER", 0, 8, 60, ""), (9, "FLAG", 7, 1, 68, ""), (10, "SEQ", 1, 4, 69, ""),
-    ]
-) + """INDEX_NUMBER 1
+FIELD_NUMBER 2
+FIELD_NAME ARTICLE
+FIELD_NATIVE_TYPE 0
+FIELD_NATIVE_LENGTH 8
+FIELD_NATIVE_OFFSET 0
+FIELD_NUMBER 3
+FIELD_NAME SITE
+FIELD_NATIVE_TYPE 0
+FIELD_NATIVE_LENGTH 2
+FIELD_NATIVE_OFFSET 8
+FIELD_NUMBER 4
+FIELD_NAME MOVED_ON
+FIELD_NATIVE_TYPE 3
+FIELD_NATIVE_LENGTH 4
+FIELD_NATIVE_OFFSET 10
+FIELD_DEFAULT_VALUE 1970-01-01
+FIELD_NUMBER 5
+FIELD_NAME REMARK
+FIELD_NATIVE_TYPE 0
+FIELD_NATIVE_LENGTH 23
+FIELD_NATIVE_OFFSET 14
+FIELD_NUMBER 6
+FIELD_NAME COUNTER
+FIELD_NATIVE_TYPE 1
+FIELD_NATIVE_LENGTH 4
+FIELD_NATIVE_OFFSET 37
+INDEX_NUMBER 1
 INDEX_NUMBER_SEGMENTS 4
 INDEX_SEGMENT_FIELD 2
 INDEX_SEGMENT_FLAG 19
@@ -75,24 +100,20 @@ INDEX_SEGMENT_FIELD 0
 INDEX_SEGMENT_FLAG -1
 INDEX_NUMBER 3
 INDEX_NUMBER_SEGMENTS 1
-INDEX_SEGMENT_FIELD 10
+INDEX_SEGMENT_FIELD 6
 INDEX_SEGMENT_NULL_VALUE 32
 INDEX_SEGMENT_FLAG 2
 """
 
 
 def customers(spark):
-    rows = []
-    for i, line in enumerate(CUST_ROWS.split("\n"), 1):
-        v = line.split("|")
-        rows.append((i, *v[:4], int(v[4]), v[5] == "1", dt.date.fromisoformat(v[6])))
-    return spark.createDataFrame(rows, "recnum long, CUST_ID string, CUST_NAME string, CITY string, STATE string, BALANCE long, ACTIVE boolean, CREATED date")
+    rows = [(i, *r[:6], dt.date.fromisoformat(r[6])) for i, r in enumerate(CUST_ROWS, 1)]
+    return spark.createDataFrame(rows, "recnum long, VENDOR string, TITLE string, TOWN string, AREA string, CREDIT long, OPEN boolean, SINCE date")
 
 
 def multi(spark):
-    rows = [(i, *r.split("|")[:3], int(r.split("|")[3])) for i, r in enumerate(MULTI_ROWS.split(), 1)]
-    return spark.createDataFrame(rows, "recnum long, REGION string, DEPT string, SUB_CODE string, VALUE int")
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(MULTI_ROWS, 1)], "recnum long, HALL string, RACK string, BIN string, WEIGHT int")
 
 
 def ranked(spark):
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(DESC_ROWS, 1)], "recnum long, RANK_VAL int, LABEL string")
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(DESC_ROWS, 1)], "recnum long, SCORE int, LABEL string")

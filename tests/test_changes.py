@@ -74,10 +74,10 @@ def test_update_and_delete(spark):
 
 def test_patch_known_record(spark):
     enc = encode_records(records.customers(spark), records.CUST, keep=["recnum"])
-    patch = spark.createDataFrame([(1, 5, 0, 58, bytearray(b"XX"))], "request long, recnum long, chunk int, offset int, data binary")
+    patch = spark.createDataFrame([(1, 5, 0, 44, bytearray(b"XX"))], "request long, recnum long, chunk int, offset int, data binary")
     out, report = changes.update_chunks(enc, patch, records.CUST.record_length)
     got = {r.recnum: r for r in decode_records(out, records.CUST, keep=["recnum"]).collect()}
-    assert got[5].STATE == "XX" and got[4].STATE == "FL" and rows(report) == [(1, 5, 0)]
+    assert got[5].AREA == "XX" and got[4].AREA == "SK" and rows(report) == [(1, 5, 0)]
 
 
 def test_patches_match_loop(spark):

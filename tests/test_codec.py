@@ -139,10 +139,10 @@ def test_ranges_and_key_images(spark):
 def test_decode_keys_wildcards(spark):
     lay = Layout.build("m", [("region", 0, 4), ("dept", 0, 4), ("n", 1, 4), ("d", 3, 4)])
     key = KeySpec((Segment("region"), Segment("dept", null_byte=0x20), Segment("n"), Segment("d")))
-    images = [(1, b"SOUT" + b"    " + b"\x07\x00\x00\x00" + b"\x02\x01\xe0\x07"), (2, b"A\x00ZZ"), (3, b"")]
+    images = [(1, b"OAK " + b"    " + b"\x07\x00\x00\x00" + b"\x02\x01\xe0\x07"), (2, b"A\x00ZZ"), (3, b"")]
     df = spark.createDataFrame([(i, bytearray(b)) for i, b in images], "id int, key binary")
     wild = {r.id: r for r in decode_keys(df, "key", lay, key, null_wildcard=True).collect()}
-    assert (wild[1].region, wild[1].dept, wild[1].wild_dept, wild[1].n) == ("SOUT", None, True, 7)
+    assert (wild[1].region, wild[1].dept, wild[1].wild_dept, wild[1].n) == ("OAK", None, True, 7)
     assert wild[1].d == dt.date(2016, 1, 2)
     assert (wild[2].region, wild[2].n, wild[2].wild_n, wild[2].wild_dept) == ("A", None, True, False)
     exact = {r.id: r for r in decode_keys(df, "key", lay, key).collect()}

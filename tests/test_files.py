@@ -114,7 +114,7 @@ def test_layout_from_keys(spark, tmp_path, v6):
 
 
 def test_layout_texts(spark, tmp_path):
-    write(tmp_path, "ledger.INT", records.LEDGER_TEXT.replace("\n", "\r\n").encode())
+    write(tmp_path, "stock.INT", records.STOCK_TEXT.replace("\n", "\r\n").encode())
     write(tmp_path, "sub/plain.int", b"; no key blocks\nTABLE_NAME  PLAIN\nFIELD_NUMBER 1\nFIELD_NAME A b\nFIELD_INDEX 2\n"
           b"FIELD_NUMBER 2\nFIELD_NAME C\nfield_native_type 1\nFIELD_NATIVE_LENGTH x\nFIELD_INDEX 1\nFIELD_NUMBER 3\nFIELD_NUMBER bad\nFIELD_NAME D\n"
           b"FIELD_NUMBER 4\nFIELD_NAME E\nFIELD_INDEX 2")
@@ -122,52 +122,52 @@ def test_layout_texts(spark, tmp_path):
     cat, skipped = layout_text.read_layouts(spark, str(tmp_path), db="MAIN", schema="dbo")
     assert [os.path.basename(r.file) for r in skipped.collect()] == ["broken.int"]
     t = {r.table_name: r for r in cat.tables.collect()}
-    led = t["BKGLTRAN"]
-    assert (led.schema_name, led.db_name, led.record_length, led.primary_index, led.local_cache, led.declared_fields) == ("dbo", "LEDGER", 74, 0, True, 10)
+    led = t["STOCKMOV"]
+    assert (led.schema_name, led.db_name, led.record_length, led.primary_index, led.local_cache, led.declared_fields) == ("dbo", "DEPOT", 41, 0, True, 6)
     assert (t["PLAIN"].db_name, t["PLAIN"].primary_index) == ("MAIN", None)
-    layout = C.to_layout(C.layout_detail(cat, "bkgltran").first())
-    assert len(layout.fields) == 10 and len(layout.keys) == 3
-    assert layout.key(1).order == [("GLACCT", False), ("GLDPT", False), ("DATE", True)]
-    assert layout.key_length(layout.key(1)) == 18 and layout.key_length(layout.key(2)) == 10
-    assert layout.field("DATE").default == "0001-01-01" and layout.field("BKGL_TRN_KEY").index == 1
+    layout = C.to_layout(C.layout_detail(cat, "stockmov").first())
+    assert len(layout.fields) == 6 and len(layout.keys) == 3
+    assert layout.key(1).order == [("ARTICLE", False), ("SITE", False), ("MOVED_ON", True)]
+    assert layout.key_length(layout.key(1)) == 14 and layout.key_length(layout.key(2)) == 8
+    assert layout.field("MOVED_ON").default == "1970-01-01" and layout.field("MOVE_KEY").index == 1
     assert layout.key(3).segments[0].null_byte == 32 and layout.key(3).unique and not layout.key(2).unique
     plain = C.to_layout(C.layout_detail(cat, "PLAIN").first())
     assert [(f.num, f.name, f.native_type, f.length) for f in plain.fields] == [(1, "A b", 0, 0), (2, "C", 1, 0), (4, "E", 0, 0)]
     assert [(k.num, k.columns) for k in plain.keys] == [(1, ["C"]), (2, ["A b", "E"])]
     findings = {(r.table_name, r.finding) for r in C.validate_layouts(cat, skipped).collect()}
     assert (None, "file does not parse") in findings
-    assert {f for t, f in findings if t == "BKGLTRAN"} == {"record number key is descending"}
+    assert {f for t, f in findings if t == "STOCKMOV"} == {"record number key is descending"}
 
 
 def test_import_directory(spark, tmp_path):
     src, out = tmp_path / "src", str(tmp_path / "out")
     cust = records.customers(spark)
     enc = [bytes(r.rec) for r in encode_records(cust, records.CUST, keep=["recnum"]).orderBy("recnum").select("rec").collect()]
-    write(src, "test_cust.B", pagefiles.v6_file(enc, 512))
+    write(src, "test_vendor.B", pagefiles.v6_file(enc, 512))
     write(src, "other.B", pagefiles.v6_file(recs(30), 512, keys=KEYS))
     write(src, "broken.B", b"x" * 100)
     catalog = importer.catalog_of(spark, [records.CUST])
 
     dry, _ = importer.import_files(spark, str(src), catalog, out, dry_run=True)
-    assert {r.table_name: (r.status, r.records) for r in dry.collect()} == {"TEST_CUST": ("ok", 10), "OTHER": ("ok", 30), "BROKEN": ("skipped", 0)}
+    assert {r.table_name: (r.status, r.records) for r in dry.collect()} == {"TEST_VENDOR": ("ok", 10), "OTHER": ("ok", 30), "BROKEN": ("skipped", 0)}
     assert not os.path.exists(out)
 
     none, _ = importer.import_files(spark, str(src), catalog, out, create=False, auto_layout=False)
     assert {r.table_name: r.message for r in none.collect()} == {
-        "TEST_CUST": "table does not exist", "OTHER": "no layout", "BROKEN": "file is too short"}
+        "TEST_VENDOR": "table does not exist", "OTHER": "no layout", "BROKEN": "file is too short"}
 
     report, known = importer.import_files(spark, str(src), catalog, out)
     got = {r.table_name: (r.status, r.records, r.message) for r in report.collect()}
-    assert got["TEST_CUST"] == ("ok", 10, "") and got["OTHER"] == ("ok", 30, "14 bytes are covered by no key")
-    assert rows(known.tables, "table_name") == [("OTHER",), ("TEST_CUST",)]
-    loaded = spark.read.parquet(f"{out}/TEST_CUST").drop("file", "page_no", "slot_no")
+    assert got["TEST_VENDOR"] == ("ok", 10, "") and got["OTHER"] == ("ok", 30, "14 bytes are covered by no key")
+    assert rows(known.tables, "table_name") == [("OTHER",), ("TEST_VENDOR",)]
+    loaded = spark.read.parquet(f"{out}/TEST_VENDOR").drop("file", "page_no", "slot_no")
     assert rows(loaded) == rows(cust.drop("recnum"))
 
     again, _ = importer.import_files(spark, str(src), catalog, out, create=False)
-    assert {r.table_name: r.records for r in again.collect()}["TEST_CUST"] == 10
-    assert spark.read.parquet(f"{out}/TEST_CUST").count() == 20
+    assert {r.table_name: r.records for r in again.collect()}["TEST_VENDOR"] == 10
+    assert spark.read.parquet(f"{out}/TEST_VENDOR").count() == 20
     importer.import_files(spark, str(src), catalog, out, truncate=True)
-    assert spark.read.parquet(f"{out}/TEST_CUST").count() == 10
+    assert spark.read.parquet(f"{out}/TEST_VENDOR").count() == 10
 
     known.save(str(tmp_path / "catalog"))
     assert C.table_summary(C.Catalog.load(spark, str(tmp_path / "catalog"))).count() == 2

@@ -18,61 +18,61 @@ def cust(spark):
     return records.customers(spark).cache()
 
 
-def one(df, column="CUST_ID"):
+def one(df, column="VENDOR"):
     return [r[column] for r in df.collect()]
 
 
 def test_single_lookups(cust):
     key = records.CUST.key(1)
-    assert one(keyed.get_greater_or_equal(cust, key, ["A00055"])) == ["A0006"]
-    assert one(keyed.get_greater(cust, key, ["A0005"])) == ["A0006"]
-    assert one(keyed.get_less(cust, key, ["A0005"])) == ["A0004"]
-    assert one(keyed.get_less_or_equal(cust, key, ["A0005"])) == ["A0005"]
-    assert one(keyed.get_equal(cust, key, ["A0005"])) == ["A0005"]
-    assert one(keyed.get_equal(cust, key, ["A0099"])) == []
-    assert one(keyed.get_less(cust, key, ["A0001"])) == []
-    assert one(keyed.get_first(cust, key)) == ["A0001"] and one(keyed.get_last(cust, key)) == ["A0010"]
+    assert one(keyed.get_greater_or_equal(cust, key, ["V-1055"])) == ["V-106"]
+    assert one(keyed.get_greater(cust, key, ["V-105"])) == ["V-106"]
+    assert one(keyed.get_less(cust, key, ["V-105"])) == ["V-104"]
+    assert one(keyed.get_less_or_equal(cust, key, ["V-105"])) == ["V-105"]
+    assert one(keyed.get_equal(cust, key, ["V-105"])) == ["V-105"]
+    assert one(keyed.get_equal(cust, key, ["V-199"])) == []
+    assert one(keyed.get_less(cust, key, ["V-101"])) == []
+    assert one(keyed.get_first(cust, key)) == ["V-101"] and one(keyed.get_last(cust, key)) == ["V-110"]
 
 
 def test_page_projects_byte_ranges(cust):
-    enc = encode_records(cust, records.CUST, keep=["recnum", "CUST_ID"])
-    page = keyed.page_next(enc, ["CUST_ID"], Cursor(("A0001",), 1), 5, extract=[(8, 0)])
-    assert [bytes(r.data) for r in page.collect()] == [f"A000{i}   ".encode() for i in range(2, 7)]
-    assert keyed.page_cursor(page, ["CUST_ID"]) == Cursor(("A0006",), 6)
+    enc = encode_records(cust, records.CUST, keep=["recnum", "VENDOR"])
+    page = keyed.page_next(enc, ["VENDOR"], Cursor(("V-101",), 1), 5, extract=[(8, 0)])
+    assert [bytes(r.data) for r in page.collect()] == [f"V-10{i}   ".encode() for i in range(2, 7)]
+    assert keyed.page_cursor(page, ["VENDOR"]) == Cursor(("V-106",), 6)
     assert keyed.page_rows(0) is None and keyed.page_rows(0, 100, 8) == 7 and keyed.page_rows(50, 100, 8) == 7 and keyed.page_rows(3, 100, 8) == 3
-    back = keyed.page_previous(enc, ["CUST_ID"], Cursor(("A0003",), 3), 5)
-    assert one(back) == ["A0002", "A0001"]
+    back = keyed.page_previous(enc, ["VENDOR"], Cursor(("V-103",), 3), 5)
+    assert one(back) == ["V-102", "V-101"]
 
 
 def test_compound_and_descending_walks(spark):
     multi = records.multi(spark)
     down = records.MULTI.key(2)
-    assert one(keyed.order_by_key(multi, down).limit(4), "VALUE") == [900, 850, 750, 700]
-    assert one(keyed.get_greater(multi, down, [850]), "VALUE") == [750]
-    assert one(keyed.get_less(multi, down, [850]), "VALUE") == [900]
+    assert one(keyed.order_by_key(multi, down).limit(4), "WEIGHT") == [90, 83, 77, 64]
+    assert one(keyed.get_greater(multi, down, [83]), "WEIGHT") == [77]
+    assert one(keyed.get_less(multi, down, [83]), "WEIGHT") == [90]
     key = records.MULTI.key(1)
     first = keyed.get_first(multi, key).first()
-    assert (first.REGION, first.DEPT, first.SUB_CODE) == ("EAST", "ENG", "ALPHA")
-    image = spark.createDataFrame([(bytearray(b"SOUT" + bytes(10)),)], "key binary")
+    assert (first.HALL, first.RACK, first.BIN) == ("ASH", "R1", "b1")
+    image = spark.createDataFrame([(bytearray(b"OAK " + bytes(10)),)], "key binary")
     values = decode_keys(image, "key", records.MULTI, key, null_wildcard=True).first()
-    found = keyed.get_greater_or_equal(multi, key, [values.REGION, values.DEPT, values.SUB_CODE]).first()
-    assert (found.REGION, found.DEPT, found.SUB_CODE) == ("SOUT", "ENG", "ALPHA")
+    found = keyed.get_greater_or_equal(multi, key, [values.HALL, values.RACK, values.BIN]).first()
+    assert (found.HALL, found.RACK, found.BIN) == ("OAK", "R1", "b1")
     walk = keyed.order_by_key(records.ranked(spark), records.DESC.keys[0]).limit(5)
-    assert one(walk, "RANK_VAL") == [80, 70, 60, 50, 40]
+    assert one(walk, "SCORE") == [27, 21, 14, 9, 3]
 
 
 def test_percent(cust):
-    place = {r.CUST_ID: r.pct for r in physical.find_percent(cust).collect()}
-    assert place["A0005"] == 5000 and place["A0010"] == 10000
+    place = {r.VENDOR: r.pct for r in physical.find_percent(cust).collect()}
+    assert place["V-105"] == 5000 and place["V-110"] == 10000
     percents = cust.sparkSession.createDataFrame([(5000,), (0,), (10000,), (9999,)], "pct int")
-    got = {r.pct: r.CUST_ID for r in physical.get_by_percent(cust, percents).collect()}
-    assert got == {5000: "A0006", 0: "A0001", 10000: "A0010", 9999: "A0010"}
+    got = {r.pct: r.VENDOR for r in physical.get_by_percent(cust, percents).collect()}
+    assert got == {5000: "V-106", 0: "V-101", 10000: "V-110", 9999: "V-110"}
     assert physical.get_by_percent(cust.where("false"), percents).count() == 0
 
 
 def test_terms_bind_and_before_or(cust):
-    wanted = [Term("STATE", "=", "TX"), Term("BALANCE", ">", 100000, "or"), Term("CITY", "startswith", "MI"), Term("ACTIVE", "=", False, "or")]
-    assert one(cust.where(where_terms(wanted)).orderBy("recnum")) == ["A0004"]
+    wanted = [Term("AREA", "=", "FI"), Term("CREDIT", ">", 100000, "or"), Term("TOWN", "startswith", "Gh"), Term("OPEN", "=", False, "or")]
+    assert one(cust.where(where_terms(wanted)).orderBy("recnum")) == ["V-103", "V-106"]
     assert cust.where(where_terms([])).count() == 10
 
 
