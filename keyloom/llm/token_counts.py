@@ -10,15 +10,15 @@ encoding anything again.
 
 No piece of the vocabulary has a space mark behind another character, none has a line feed, and
 certain marks follow no letter within a piece.  Stretches between those places are therefore
-independent; each distinct stretch is solved once per worker (bounded memory) and a text's table
-is the running sum over its stretches.
+independent; each distinct stretch is solved once per worker (bounded memory), in sorted order so
+that shared beginnings are solved once, and a text's table is the running sum over its stretches.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,7 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keyloom.llm.common import in_batches, texts_of
+from keyloom.llm.common import blocks, in_batches, texts_of
 
 SPACE = "▁"
 _MARKS = ".,;:!?|%&$#*"
@@ -44,12 +44,16 @@ class PrefixCounter:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         plain = (i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)))
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
-        self.longest = max(map(len, self.score))
+        # longest piece with these last three characters; others have at most two
+        self.reach: dict[str, int] = {}
+        for piece in self.score:
+            if len(piece) > 2:
+                self.reach[piece[-3:]] = max(len(piece), self.reach.get(piece[-3:], 0))
         # a mark is a border only if no piece has it behind a letter
         marks = "".join(m for m in _MARKS if not any(re.search(rf"[^\W\d_]{re.escape(m)}", p) for p in self.score)) or SPACE
         self.stretches = re.compile(rf"{SPACE}*[^\W\d_]++(?=[{re.escape(marks)}])|{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n").findall
         self.fits: dict[tuple[str, str], bool] = {}
-        self.known = _Stretches(self)
+        self.known: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The encoder's own rule on a short string: best pair first, leftmost among equals."""
@@ -74,56 +78,74 @@ class PrefixCounter:
             known = self.fits[pair] = self.merged(before + piece) == [p for p in pair if p]
         return known
 
-    def steps(self, stretch: str) -> bytes:
-        """Change of the token count at each character, as 16-bit integers."""
-        score, longest, fits = self.score, self.longest, self.fits
-        last, count, out = [""], [0], array("h")
-        for end in range(1, len(stretch) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                piece = stretch[start:end]
-                if piece in score:
-                    fit = fits.get((last[start], piece))
-                    if fit or fit is None and self.follows(last[start], piece):
-                        last.append(piece)
-                        count.append(count[start] + 1)
-                        break
-            else:
-                # a character outside the vocabulary: one token per byte, and a barrier
-                last.append("")
-                count.append(count[-1] + len(stretch[end - 1].encode()))
-            out.append(count[end] - count[end - 1])
-        return out.tobytes()
-
-    def changes(self, text: str) -> np.ndarray:
-        """Change of the count at each character of ``text``: the stored table."""
-        if not text:
-            return np.zeros(0, dtype="<i2")
-        marked = SPACE + text.replace(" ", SPACE)
-        out = np.frombuffer(b"".join(map(self.known.__getitem__, self.stretches(marked))), dtype="<i2").copy()
+    def solve(self, stretches: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Each stretch with the change of the token count at each character, as 16-bit integers.
+
+        What a prefix gives depends on nothing behind it, so in sorted order a stretch goes on
+        where it parts from the one before.
+        """
+        score, reach, fits = self.score, self.reach, self.fits
+        before, last, count, out = "", [""], [0], array("h")
+        for stretch in sorted(stretches):
+            size, shared = len(stretch), 0
+            for a, b in zip(before, stretch):
+                if a != b:
+                    break
+                shared += 1
+            del last[shared + 1 :], count[shared + 1 :], out[shared:]
+            for end in range(shared + 1, size + 1):
+                far = reach.get(stretch[end - 3 : end], 2)
+                for start in range(end - far if end > far else 0, end):
+                    piece = stretch[start:end]
+                    if piece in score:
+                        fit = fits.get((last[start], piece))
+                        if fit or fit is None and self.follows(last[start], piece):
+                            last.append(piece)
+                            count.append(count[start] + 1)
+                            break
+                else:
+                    # a character outside the vocabulary: one token per byte, and a barrier
+                    last.append("")
+                    count.append(count[-1] + len(stretch[end - 1].encode()))
+                out.append(count[end] - count[end - 1])
+            before = stretch
+            yield stretch, out.tobytes()
+
+    def all_changes(self, texts: list[str]) -> list[np.ndarray]:
+        """Change of the count at each character of each text: the stored tables."""
+        cut = [self.stretches(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        met = set().union(*cut)
+        known, passing = self.known, []
+        new = [s for s in met if s not in known]
+        if len(known) + len(new) > _CACHED_STRETCHES:
+            # a table that is emptied now would lose what these texts need
+            known.clear()
+            new = list(met)
+        for stretch, steps in self.solve(new):
+            known[stretch] = steps
+            if len(stretch) > _CACHED_CHARS:
+                passing.append(stretch)
+        tables = [self._joined(map(known.__getitem__, c)) for c in cut]
+        for stretch in passing:
+            del known[stretch]
+        return tables
+
+    @staticmethod
+    def _joined(steps: Iterable[bytes]) -> np.ndarray:
+        out = np.frombuffer(b"".join(steps), dtype="<i2").copy()
+        if not len(out):
+            return out
         out[1] += out[0]
         return out[1:]
 
+    def changes(self, text: str) -> np.ndarray:
+        return self.all_changes([text])[0]
+
     def counts(self, text: str) -> np.ndarray:
         """Exact number of tokens of ``text[:i]`` for every ``i`` from 0 to its length."""
         return prefix_counts(self.changes(text))
 
 
-class _Stretches(dict):
-    """Solved stretches, emptied when full: memory stays bounded whatever the corpus."""
-
-    def __init__(self, counter: PrefixCounter):
-        super().__init__()
-        self.counter = counter
-
-    def __missing__(self, stretch: str) -> bytes:
-        steps = self.counter.steps(stretch)
-        if len(stretch) <= _CACHED_CHARS:
-            if len(self) >= _CACHED_STRETCHES:
-                self.clear()
-            self[stretch] = steps
-        return steps
-
-
 def prefix_counts(changes: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(changes, dtype=np.int64)))
 
@@ -162,11 +184,11 @@ def token_tables(df: DataFrame, model_path: str, limit: int = 4096, keep_table:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = counter(model_path)
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        for batch in (b for whole in batches for b in blocks(whole)):
             out: dict[str, list] = {n: [] for n in types}
             out["doc_id"] = batch.column("doc_id").to_pylist()
-            for text in texts_of(batch):
-                changes = model.changes(text)
+            texts = texts_of(batch)
+            for text, changes in zip(texts, model.all_changes(texts)):
                 counts = prefix_counts(changes)
                 out["n_bytes"].append(len(text.encode()))
                 out["n_chars"].append(len(text))
