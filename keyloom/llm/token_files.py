@@ -46,7 +46,8 @@ _BINS = 1 << 20
 _WORDS = 700_000
 _APART = 1000
 #: A word of Latin letters and then marks: the pre-tokenizer cuts it exactly there.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?%&*$#()|]*)")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
+_MARKS = ".,;:!?%&*$#()|"
 #: White space for Python that the vocabulary's own pattern takes for a mark.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -78,28 +79,31 @@ class WordEncoder:
         for at in range(0, len(words), _APART):
             some = words[at : at + _APART]
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(self.final[ids]) + 1
-            out += [x.tobytes() for x in np.split(ids, ends[:-1])] if len(ends) == len(some) else self._encode(some)
+            ends = (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(some) else self._encode(some)
         return out
 
     def learn(self, words: set[str]) -> None:
         """Put words into the table."""
         if len(self.parts) > _WORDS:
             self.parts = {"": b""}
-        plain, other, letters, marks = {}, [], {}, {}
+        parts, plain, other, letters, marks = self.parts, [], [], {}, {}
         for word in words:
-            m = _PLAIN.fullmatch(word)
-            if m is None:
-                other.append(word)
-                continue
-            plain[word] = m.groups()
-            for part, new in zip(m.groups(), (letters, marks)):
-                if part not in self.parts:
-                    new[part] = None
-        self.parts.update(zip(letters, self._encode_letters(list(letters))))
-        self.parts.update(zip(marks, self._encode(list(marks))))
-        for word, (a, b) in plain.items():
-            self.words[word] = self.parts[a] + self.parts[b]
+            head = word.rstrip(_MARKS)
+            tail = word[len(head) :]
+            if head not in parts:
+                if not _LETTERS.fullmatch(head):
+                    other.append(word)
+                    continue
+                letters[head] = None
+            if tail not in parts:
+                marks[tail] = None
+            plain.append((word, head, tail))
+        parts.update(zip(letters, self._encode_letters(list(letters))))
+        parts.update(zip(marks, self._encode(list(marks))))
+        for word, head, tail in plain:
+            self.words[word] = parts[head] + parts[tail] if tail else parts[head]
         self.words.update(zip(other, self._encode(other)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
