@@ -304,6 +304,11 @@ def write_token_files(df: DataFrame, vocabulary: str, path: str, shard_ids: int
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` (32-bit little-endian) of every document in the files."""
     files = spark.read.parquet(path)
+    return _with_starts(_decoded(files), files).select("doc_id", "start", "n_tokens", "ids")
+
+
+def _decoded(files: DataFrame) -> DataFrame:
+    """Documents of all shards, with ``inner``: ids before a document within its shard."""
     types = {"part": pa.int32(), "shard": pa.int32(), "doc_id": pa.int64(), "inner": pa.int64(), "n_tokens": pa.int64(), "ids": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,14 +320,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 out = [[part] * n, [shard] * n, read.doc_ids, starts, read.lengths, [ids[a:b].tobytes() for a, b in zip(starts.tolist(), read.ends.tolist())]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, types.values())], names=list(types))
 
-    decoded = in_batches(files.select("part", "shard", "payload"), run, "part int, shard int, doc_id long, inner long, n_tokens long, ids binary")
-    # ids before a shard: those of the parts before, and of the shards before in its part
+    return in_batches(files.select("part", "shard", "payload"), run, "part int, shard int, doc_id long, inner long, n_tokens long, ids binary")
+
+
+def _with_starts(decoded: DataFrame, files: DataFrame) -> DataFrame:
+    """``start``: the ids before a shard (of the parts before, and of those before in its part), and ``inner``."""
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     of_part = parts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before_part"))
     within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.select("part", "shard", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("before_shard")).join(of_part, "part")
-    return decoded.join(bases, ["part", "shard"]).select("doc_id", (F.col("before_part") + F.col("before_shard") + F.col("inner")).alias("start"), "n_tokens", "ids")
+    return decoded.join(bases, ["part", "shard"]).withColumn("start", F.col("before_part") + F.col("before_shard") + F.col("inner"))
 
 
 def token_file_rows(df: DataFrame, vocabulary: str, path: str | None = None) -> DataFrame:
@@ -335,7 +343,10 @@ def token_file_rows(df: DataFrame, vocabulary: str, path: str | None = None) ->
     spark = df.sparkSession
     path = path or scratch_path(spark, "token-files")
     write_token_files(df, vocabulary, path)
-    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    files = spark.read.parquet(path)
+    # the digest is taken before the join, which then moves no ids
+    digests = _decoded(files).select("part", "shard", "doc_id", "inner", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return _with_starts(digests, files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def crc_of(ids: np.ndarray) -> int:
