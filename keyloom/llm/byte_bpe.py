@@ -3,7 +3,8 @@
 Texts are cut into pre-tokens with their positions, block by block: a block is some megabytes of
 documents, in which every pre-token is a number (of its place in the block's list of distinct
 words).  The lists are exploded by a hash of the word, so that all mentions of a word meet in
-one task, once per block however often the word occurs, and it is encoded once.  The ids go back
+one task, once per block however often the word occurs, and it is encoded once (again only if a
+bucket has more than ``KEPT_WORDS`` distinct words: memory stays bounded).  The ids go back
 to the blocks, where the positions put them together again.  Decoding joins the ids with the
 table of token bytes.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import unicodedata
 import zlib
@@ -31,7 +33,9 @@ from keyloom.plans.lineage import scratch_path
 
 BLOCK_BYTES = 24 << 20
 PACK_BYTES = 1 << 20
+#: Least number of buckets of words, and distinct words of one bucket that a task keeps.
 BUCKETS = 64
+KEPT_WORDS = 1_000_000
 _WORDS, _TEXTS = 0, 1
 
 
@@ -218,6 +222,8 @@ def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
                     word = raw[end - length : end]
                     ids = known.get(word)
                     if ids is None:
+                        if len(known) >= KEPT_WORDS:
+                            known.clear()
                         ids = known[word] = np.array(encode_word(word, table), dtype="<u4").tobytes()
                     out.append(ids)
                 sizes = np.array([len(i) // 4 for i in out], dtype=np.int64)
@@ -227,16 +233,28 @@ def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
     return in_batches(met, run, _SCHEMA)
 
 
-def encode_texts(df: DataFrame, ranks_path: str, pattern: str, buckets: int = BUCKETS) -> DataFrame:
+def buckets_for(partitions: int) -> int:
+    """Buckets of words for an input of so many partitions.
+
+    They grow with its root, so that the word lists a bucket gets and the buckets of a block both
+    grow with the root only.
+    """
+    return max(BUCKETS, 8 * math.isqrt(partitions))
+
+
+def encode_texts(df: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids`` (32-bit little-endian) for every row of ``df``.
 
+    ``buckets`` of words follow the number of input partitions if not given.
+
     The ids are those of the ranks' own encoder on each match of ``pattern``, special strings
     being ordinary text.  Null text counts as empty (no ids).  Null doc_ids and repeated rows
     stay rows of their own, as positions belong to rows and not to identifiers; texts are taken
     whole; an empty table gives no rows; other columns are not read.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "word-blocks")
-    cut_into_blocks(df, pattern, buckets).write.option("compression", "uncompressed").parquet(path)
+    docs = df.select("doc_id", "text")
+    cut_into_blocks(docs, pattern, buckets or buckets_for(docs.rdd.getNumPartitions())).write.option("compression", "uncompressed").parquet(path)
     blocks = spark.read.parquet(path)
     found = encode_lists(blocks.where(F.col("kind") == _WORDS), ranks_path)
     types = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids": pa.binary()}
