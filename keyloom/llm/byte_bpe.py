@@ -32,7 +32,7 @@ from keyloom.llm.common import gather, in_batches, texts_of
 from keyloom.plans.lineage import scratch_path
 
 BLOCK_BYTES = 24 << 20
-PACK_BYTES = 1 << 20
+PACK_WORDS = 200_000
 #: Least number of buckets of words, and distinct words of one bucket that a task keeps.
 BUCKETS = 64
 KEPT_WORDS = 1_000_000
@@ -122,14 +122,21 @@ def _encode_long(parts: list[bytes], table: dict[bytes, int]) -> list[int]:
     return [table[p] for p, live in zip(parts, alive) if live]
 
 
+def _raw_planes(values: np.ndarray) -> bytes:
+    """Whole numbers as byte planes (the upper ones are almost constant)."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
 def _planes(values: np.ndarray) -> bytes:
-    """Whole numbers as compressed byte planes (the upper ones are almost constant)."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(_raw_planes(values))
 
 
 def _from_planes(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(4, -1)
+    return _from_raw_planes(zstandard.decompress(packed))
+
+
+def _from_raw_planes(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
@@ -147,7 +154,9 @@ def _row(block: int, kind: int, bucket: int, doc_ids: list | None, lengths: list
 def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> DataFrame:
     """Blocks of documents as word numbers (``kind`` 1), and their word lists by bucket (0).
 
-    A word list holds numbers and words of one bucket; ``lengths`` of the texts count words.
+    Words are numbered from the most frequent of their block on, which keeps the numbers small.
+    A word list holds words of one bucket and the steps between their numbers; ``lengths`` of the
+    texts count words.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -157,17 +166,22 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
         numbers: dict[str, int] = {}
         doc_ids: list = []
         texts: list[np.ndarray] = []
-        size = pack = 0
-
-        def packed() -> pa.RecordBatch:
-            nonlocal pack
-            out = _row(block, _TEXTS, 0, list(doc_ids), [len(t) for t in texts], _planes(np.concatenate(texts)))
-            doc_ids.clear(), texts.clear()
-            pack = 0
-            return out
-
-        def lists() -> Iterator[pa.RecordBatch]:
-            words = [w.encode() for w in numbers]
+        size = 0
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            often = np.bincount(np.concatenate(texts), minlength=len(numbers))
+            order = np.argsort(-often, kind="stable")
+            rank = np.empty(len(order), dtype=np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            start = held = 0
+            for stop, text in enumerate(texts, 1):
+                held += len(text)
+                if held >= PACK_WORDS or stop == len(texts):
+                    some = texts[start:stop]
+                    yield _row(block, _TEXTS, 0, doc_ids[start:stop], [len(t) for t in some], _planes(rank[np.concatenate(some)]))
+                    start, held = stop, 0
+            met = list(numbers)
+            words = [met[i].encode() for i in order.tolist()]
             of = np.array([zlib.crc32(w) % buckets for w in words], dtype=np.int64)
             compress = zstandard.ZstdCompressor(level=3).compress
             for bucket in range(buckets):
@@ -175,8 +189,8 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
                 if len(mine):
                     # a word may hold any byte, so the list carries lengths
                     some = [words[i] for i in mine]
-                    head = np.array([len(w) for w in some], dtype="<u4").tobytes()
-                    yield _row(block, _WORDS, bucket, None, None, compress(np.array([len(some)], "<u4").tobytes() + mine.astype("<u4").tobytes() + head + b"".join(some)))
+                    head = np.concatenate((np.diff(mine, prepend=0), [len(w) for w in some]))
+                    yield _row(block, _WORDS, bucket, None, None, compress(np.array([len(some)], "<u4").tobytes() + _raw_planes(head) + b"".join(some)))
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
@@ -186,18 +200,12 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
                         numbers[w] = len(numbers)
                 texts.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.uint32, count=len(words)))
                 doc_ids.append(doc_id)
-                size, pack = size + len(text), pack + len(text)
-                if pack >= PACK_BYTES:
-                    yield packed()
+                size += len(text) + 16
                 if size >= BLOCK_BYTES:
-                    if texts:
-                        yield packed()
-                    yield from lists()
-                    numbers, size, block = {}, 0, block + 1
+                    yield from closed()
+                    numbers, doc_ids, texts, size, block = {}, [], [], 0, block + 1
         if texts:
-            yield packed()
-        if numbers:
-            yield from lists()
+            yield from closed()
 
     return in_batches(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, _SCHEMA)
 
@@ -205,7 +213,7 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
 def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
     """Ids for the words of all lists; the lists of a bucket come together, each word once.
 
-    Returns rows like the lists': numbers, then how many ids each has, then the ids.
+    Returns rows like the lists': steps, then how many ids each has, then the ids.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bucket, known = ranks(ranks_path), None, {}
@@ -215,7 +223,7 @@ def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
                     bucket, known = of, {}
                 raw = zstandard.decompress(payload)
                 n = int(np.frombuffer(raw, "<u4", 1)[0])
-                numbers, lengths = np.frombuffer(raw, "<u4", n, 4), np.frombuffer(raw, "<u4", n, 4 + 4 * n)
+                steps, lengths = np.split(_from_raw_planes(raw[4 : 4 + 8 * n]), 2)
                 ends = (4 + 8 * n + np.cumsum(lengths, dtype=np.int64)).tolist()
                 out = []
                 for end, length in zip(ends, lengths.tolist()):
@@ -227,7 +235,7 @@ def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
                         ids = known[word] = np.array(encode_word(word, table), dtype="<u4").tobytes()
                     out.append(ids)
                 sizes = np.array([len(i) // 4 for i in out], dtype=np.int64)
-                yield _row(block, _WORDS, of, None, [n], _planes(np.concatenate((numbers, sizes, np.frombuffer(b"".join(out), "<u4")))))
+                yield _row(block, _WORDS, of, None, [n], _planes(np.concatenate((steps, sizes, np.frombuffer(b"".join(out), "<u4")))))
 
     met = lists.repartition("bucket").sortWithinPartitions("bucket").select("block", "bucket", "payload")
     return in_batches(met, run, _SCHEMA)
@@ -290,7 +298,7 @@ def _word_table(lists: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.nda
     starts, sizes = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     values, base = [], 0
     for k, read in lists:
-        numbers, lengths, ids = read[:k], read[k : 2 * k], read[2 * k :]
+        numbers, lengths, ids = np.cumsum(read[:k]), read[k : 2 * k], read[2 * k :]
         sizes[numbers] = lengths
         starts[numbers] = base + np.cumsum(lengths) - lengths
         values.append(ids.astype("<u4"))
