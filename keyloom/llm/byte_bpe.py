@@ -37,6 +37,9 @@ PACK_WORDS = 200_000
 BUCKETS = 64
 KEPT_WORDS = 1_000_000
 _WORDS, _TEXTS = 0, 1
+#: Level at which blocks and lists are compressed, and the code of a number beyond two bytes.
+LEVEL = 9
+_WIDE = 0xFFFF
 
 
 @lru_cache(maxsize=2)
@@ -127,8 +130,12 @@ def _raw_planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=LEVEL).compress(raw)
+
+
 def _planes(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(_raw_planes(values))
+    return _squeeze(_raw_planes(values))
 
 
 def _from_planes(packed: bytes) -> np.ndarray:
@@ -140,6 +147,31 @@ def _from_raw_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
+def pack_numbers(numbers: np.ndarray, once: int) -> bytes:
+    """Word numbers of some texts; those from ``once`` on occur once in a block, in this order.
+
+    Two bytes a word: 0 for the next word that occurs once, ``_WIDE`` for a number that does not
+    fit and stands behind the others, else the number plus one.
+    """
+    single, codes = numbers >= once, numbers.astype(np.int64) + 1
+    wide = ~single & (codes >= _WIDE)
+    start = int(numbers[single][0]) if single.any() else 0
+    codes[wide], codes[single] = _WIDE, 0
+    head = np.array([start, np.count_nonzero(wide)], dtype="<u4")
+    return _squeeze(head.tobytes() + codes.astype("<u2").tobytes() + _raw_planes(numbers[wide]))
+
+
+def unpack_numbers(packed: bytes) -> np.ndarray:
+    raw = zstandard.decompress(packed)
+    start, n_wide = np.frombuffer(raw, "<u4", 2).tolist()
+    end = len(raw) - 4 * n_wide
+    codes = np.frombuffer(raw[8:end], "<u2")
+    numbers, single = codes.astype(np.int64) - 1, codes == 0
+    numbers[single] = start + np.arange(np.count_nonzero(single))
+    numbers[codes == _WIDE] = _from_raw_planes(raw[end:])
+    return numbers
+
+
 _TYPES = {
     "block": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "doc_ids": pa.list_(pa.int64()), "lengths": pa.list_(pa.int32()), "payload": pa.binary(),
 }
@@ -154,7 +186,8 @@ def _row(block: int, kind: int, bucket: int, doc_ids: list | None, lengths: list
 def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> DataFrame:
     """Blocks of documents as word numbers (``kind`` 1), and their word lists by bucket (0).
 
-    Words are numbered from the most frequent of their block on, which keeps the numbers small.
+    Words are numbered from the most frequent of their block on, which keeps the numbers small;
+    those that occur once come last, in the order of the texts, so their numbers need no room.
     A word list holds words of one bucket and the steps between their numbers; ``lengths`` of the
     texts count words.
     """
@@ -173,24 +206,24 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
             order = np.argsort(-often, kind="stable")
             rank = np.empty(len(order), dtype=np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
+            once = int(np.count_nonzero(often > 1))
             start = held = 0
             for stop, text in enumerate(texts, 1):
                 held += len(text)
                 if held >= PACK_WORDS or stop == len(texts):
                     some = texts[start:stop]
-                    yield _row(block, _TEXTS, 0, doc_ids[start:stop], [len(t) for t in some], _planes(rank[np.concatenate(some)]))
+                    yield _row(block, _TEXTS, 0, doc_ids[start:stop], [len(t) for t in some], pack_numbers(rank[np.concatenate(some)], once))
                     start, held = stop, 0
             met = list(numbers)
             words = [met[i].encode() for i in order.tolist()]
             of = np.array([zlib.crc32(w) % buckets for w in words], dtype=np.int64)
-            compress = zstandard.ZstdCompressor(level=3).compress
             for bucket in range(buckets):
                 mine = np.flatnonzero(of == bucket)
                 if len(mine):
                     # a word may hold any byte, so the list carries lengths
                     some = [words[i] for i in mine]
                     head = np.concatenate((np.diff(mine, prepend=0), [len(w) for w in some]))
-                    yield _row(block, _WORDS, bucket, None, None, compress(np.array([len(some)], "<u4").tobytes() + _raw_planes(head) + b"".join(some)))
+                    yield _row(block, _WORDS, bucket, None, None, _squeeze(np.array([len(some)], "<u4").tobytes() + _raw_planes(head) + b"".join(some)))
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
@@ -279,7 +312,7 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, buckets: int | No
                 if table is None:
                     table, lists = _word_table(lists), []
                 values, starts, sizes = table
-                words = _from_planes(payload)
+                words = unpack_numbers(payload)
                 ids = gather(values, starts[words], sizes[words])
                 counts = np.concatenate(([0], np.cumsum(sizes[words])))
                 ends = np.cumsum([0, *lengths])
