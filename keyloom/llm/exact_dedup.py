@@ -29,21 +29,24 @@ def normalised(text: str = "text") -> Column:
 def _sorted_runs(df: DataFrame, keep: str, survivors: bool) -> tuple[DataFrame, DataFrame]:
     """(rows with their local run, what runs that cross ranges amount to), both narrow to join.
 
-    Rows carry the columns of ``df``, the number of their run within the range, the run's size
-    and kept doc_id there, and whether the row is the one of its run that stays there.  With
-    ``survivors`` only those rows are written.  The only shuffle of texts is the one to ranges.
+    Rows carry doc_id, the number of their run within the range, the run's size and kept doc_id
+    there, and whether the row is the one of its run that stays there.  With ``survivors`` only
+    those rows are written, and carry the row of ``df`` as a struct, whose names can't clash
+    with others here.  The only shuffle of texts is the one to ranges.
     """
-    spark, own = df.sparkSession, df.columns
+    spark = df.sparkSession
+    own = F.col("__row") if survivors else F.col("__row.doc_id").alias("doc_id")
+    doc_id = F.col("__row.doc_id").cast("long")
     # a row without doc_id is the last to stay
     absent = -(1 << 63) if keep == LARGEST else (1 << 63) - 1
-    sides = df.select("*", normalised().alias("__norm")).select(
-        *own,
+    sides = df.select(F.struct("*").alias("__row")).withColumn("__norm", normalised("__row.text")).select(
+        "__row",
         F.substring("__norm", 1, _HEAD).alias("__head"), F.xxhash64("__norm").alias("__hash"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(absent)).alias("__id"),
+        F.coalesce(doc_id, F.lit(absent)).alias("__id"),
     )
     order = [("__head", False), ("__hash", False), ("__id", False)]
     cut = sample_ranges(sides, order)
-    placed = cut.assign(sides, _RANGE).repartition(_RANGE).withColumn("__norm", normalised())
+    placed = cut.assign(sides, _RANGE).repartition(_RANGE).withColumn("__norm", normalised("__row.text"))
     at = Window.partitionBy(_RANGE).orderBy("__head", "__hash", "__norm", "__id")
     marked = (
         placed.withColumn("__first", ~F.coalesce(F.col("__norm") == F.lag("__norm").over(at), F.lit(False)))
@@ -55,9 +58,9 @@ def _sorted_runs(df: DataFrame, keep: str, survivors: bool) -> tuple[DataFrame,
     run = Window.partitionBy(_RANGE, "__run")
     pick = F.max if keep == LARGEST else F.min
     local = marked.select(
-        *own, _RANGE, "__run", "__top", "__end", F.col("__last" if keep == LARGEST else "__first").alias("__stays"),
+        own, doc_id.alias("__doc"), _RANGE, "__run", "__top", "__end", F.col("__last" if keep == LARGEST else "__first").alias("__stays"),
         F.sha2("__norm", 256).alias("__sha"), F.when(F.col("__top") | F.col("__end"), F.col("__norm")).alias("__text"),
-    ).withColumns({"__keep": pick("doc_id").over(run), "__size": F.count(F.lit(1)).over(run)})
+    ).withColumns({"__keep": pick("__doc").over(run), "__size": F.count(F.lit(1)).over(run)}).drop("__doc")
     if survivors:
         local = local.where(F.col("__stays") | F.col("__top") | F.col("__end"))
     path = scratch_path(spark, "content-sort")
@@ -112,4 +115,4 @@ def mark_copies(df: DataFrame, keep: str = SMALLEST) -> DataFrame:
 def drop_copies(df: DataFrame, keep: str = SMALLEST) -> DataFrame:
     """The rows of ``df`` that ``mark_copies`` keeps, with all their columns."""
     rows, chains = _sorted_runs(df, keep, survivors=True)
-    return _with_chains(rows, chains).where("kept").select(*df.columns)
+    return _with_chains(rows, chains).where("kept").select("__row.*")

@@ -65,13 +65,17 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(df: DataFrame) -> DataFrame:
-    """``doc_id, fp``: the 64 fingerprint bits as a signed long."""
+    """``doc_id, tag, fp``: the 64 fingerprint bits as a signed long; the tag is a hash of the row's text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t) for t in texts_of(batch)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(prints)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(prints)], names=["doc_id", "tag", "fp"])
 
-    return in_batches(df.select("doc_id", "text"), run, "doc_id long, fp long")
+    return in_batches(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _tag()), run, "doc_id long, tag long, fp long")
+
+
+def _tag() -> Column:
+    return F.xxhash64("text").alias("tag")
 
 
 def _signed(value: int) -> int:
@@ -158,23 +162,29 @@ def near_duplicates(df: DataFrame, paired: int = PAIRED) -> DataFrame:
     paired.  A row without doc_id takes its class's component (null if the whole class has no
     doc_id) and links nothing.  An empty table gives no rows.  Other columns are not read.
     """
+    return _classed(df, paired).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _classed(df: DataFrame, paired: int) -> DataFrame:
+    """``doc_id, tag, fp, component_id`` of every row."""
     prints = cut(fingerprints(df))
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     joined = components(links(classes.where("first IS NOT NULL"), paired))
     of_class = classes.join(joined, classes["first"] == joined["node"], "left").select(
         F.col("fp").alias("class_fp"), F.coalesce("component", "first").alias("component_id")
     )
-    return prints.join(of_class, F.col("fp") == F.col("class_fp")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return prints.join(of_class, F.col("fp") == F.col("class_fp")).drop("class_fp")
 
 
-def keep_one_of_each(df: DataFrame) -> DataFrame:
+def keep_one_of_each(df: DataFrame, paired: int = PAIRED) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each component the smallest doc_id stays.
 
-    All columns stay as they are.  Rows without doc_id stay only if their class has none with one.
+    All columns stay as they are, whatever their names.  Rows without doc_id go if their class
+    has one with a doc_id; else one of the class stays.  Of rows that share a doc_id and a
+    fingerprint one text stays; rows equal in doc_id and text are one document and stay together.
     """
-    found = near_duplicates(df)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")).distinct()
-    named = df.join(stay, df["doc_id"] == F.col("__stays"), "left_semi")
-    return named.select(*df.columns)
+    found = _classed(df, paired).where("doc_id <=> component_id")
+    stay = found.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("tag").alias("tag")).select("doc_id", "tag")
+    packed = df.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), _tag().alias("own_tag"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_tag") == F.col("tag"))
+    return packed.join(stay, same, "left_semi").select("row.*")

@@ -166,14 +166,16 @@ def mix_sources(df: DataFrame) -> DataFrame:
 
 
 def take_mix(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` as the mix takes them: each as often as its copies say.
+    """The rows of ``df`` as the mix takes them, all columns as they are: each as often as its copies say.
 
     Rows that repeat a doc_id are told apart by their size.
     """
     copies = mix_sources(df).select(
         F.col("doc_id").alias("__id"), "copies", F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "copies")).alias("__nth")
     )
-    nth = F.row_number().over(Window.partitionBy(F.col("doc_id").cast("long")).orderBy(word_count()))
-    rows = df.withColumn("__place", nth)
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__place") == F.col("__nth"))
-    return rows.join(copies, on).where("copies > 0").withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*df.columns)
+    # the row travels as a struct, whose names can't clash with others here
+    packed = df.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), word_count().alias("words"))
+    rows = packed.withColumn("place", F.row_number().over(Window.partitionBy("own_id").orderBy("words")))
+    on = F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("place") == F.col("__nth"))
+    taken = rows.join(copies, on).where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return taken.select("row.*")

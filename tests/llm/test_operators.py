@@ -41,7 +41,7 @@ HARD = [
 @pytest.fixture(scope="module")
 def hard(spark):
     """Hard rows with columns whose names operators use themselves."""
-    extra = ["fp", "key", "size", "target", "block", "kind", "node", "__x"]
+    extra = ["fp", "key", "size", "target", "block", "kind", "node", "__x", "keep", "here", "kept", "keep_id", "row", "tag", "own_id", "__row", "__norm", "copies"]
     return spark.createDataFrame(HARD, SCHEMA).select("*", *[F.lit(7).alias(c) for c in extra])
 
 
@@ -379,6 +379,11 @@ def test_simhash(docs, local, hard, empty):
     assert len(rows) == len(HARD) and {r.component_id for r in rows if r.doc_id in (1, 5, 10)} == {1}
     assert {r.component_id for r in rows if r.doc_id in (None, 8)} == {8} and {r.component_id for r in rows if r.doc_id in (2, 3)} == {2}
     assert simhash.near_duplicates(empty).count() == 0
+    stay = simhash.keep_one_of_each(hard)
+    assert stay.columns == hard.columns and sorted(r.doc_id for r in stay.collect()) == [1, 2, 8, 9, 11, 12]
+    unnamed = simhash.keep_one_of_each(hard.withColumn("doc_id", F.lit(None).cast("long"))).collect()
+    assert len({r.text for r in unnamed}) == len({plain_print(r[1] or "") for r in HARD}) and {r.keep for r in unnamed} == {7}
+    assert simhash.keep_one_of_each(empty).count() == 0
     kept = simhash.keep_one_of_each(docs)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == docs.columns
 
@@ -495,4 +500,6 @@ def test_exact_dedup_hard_rows(hard, empty):
     out = exact_dedup.mark_copies(hard, exact_dedup.LARGEST).collect()
     assert len(out) == len(HARD) and sum(r.kept for r in out) == len({low(r[1]) for r in HARD})
     assert {(r.keep_id, r.group_size) for r in out if r.doc_id in (2, 3)} == {(3, 3)} and {r.keep_id for r in out if r.doc_id is None} == {8}
+    kept = exact_dedup.drop_copies(hard)
+    assert kept.columns == hard.columns and sorted((r.doc_id, r.keep, r.size) for r in kept.collect()) == [(d, 7, 7) for d in (1, 2, 8, 9, 10, 11, 12)]
     assert exact_dedup.mark_copies(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
