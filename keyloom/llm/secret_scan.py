@@ -3,7 +3,9 @@
 Text written by people is in a tokenizer's vocabulary: it takes few tokens.  Random strings are
 not: they take about a token for every one or two characters.  A long run of key characters
 whose characters-per-token ratio is low is therefore reported, unless its form is that of a
-known digest or identifier.  The pattern matches are reported whatever their ratio.
+known digest or identifier.  Of a run that is readable as a whole, the parts between '/', '=',
+'_' and '-' are judged by themselves, and then every stretch of tokens in what is left, so a key
+behind a path or a name is found too.  The pattern matches are reported whatever their ratio.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +43,15 @@ KNOWN = re.compile(
     r"|(?:sha1|sha256|sha384|sha512)-[A-Za-z0-9+/]+=*"  # subresource digests
     r"|[0-9+/_=-]+)"  # numbers, dates, rules
 )
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+#: A digit and a letter, or letters of both cases.
+_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])|(?=.*[a-z])(?=.*[A-Z])")
+LEAST_LENGTH = 20
+#: A stretch that is twice the least length has a random one within it, so no longer ones are looked at.
+_WIDEST = 64
+#: Numbers and dates of so many characters are no part of a key.
+_NUMBERS = 8
+_PART = re.compile(r"[A-Za-z0-9+]{20,}")
+_KNOWN_WITHIN = re.compile(rf"(?<![A-Za-z0-9])(?:{KNOWN.pattern})(?![A-Za-z0-9])")
 
 
 @lru_cache(maxsize=2)
@@ -60,13 +72,79 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _is_random(part: str, encoder, least_ratio: float) -> bool:
+    return bool(_MIXED.match(part)) and not KNOWN.fullmatch(part) and len(part) < least_ratio * len(encoder.encode_ordinary(part))
+
+
+def _gaps(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What of ``start:end`` no taken span covers, if long enough."""
+    out = []
+    for a, b in [*sorted(taken), (end, end)]:
+        if a - start >= LEAST_LENGTH:
+            out.append((start, a))
+        start = max(start, b)
+    return out
+
+
+def _stretches(text: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
+    """Disjoint stretches of tokens of the least length or more that are random; the most random of those that meet."""
+    lengths = [len(t) for t in encoder.decode_tokens_bytes(encoder.encode_ordinary(text))]
+    ends = list(accumulate(lengths))
+    starts = [0, *ends[:-1]]
+    found = []
+    for i, a in enumerate(starts):
+        for j in range(bisect_left(ends, a + LEAST_LENGTH), len(ends)):
+            b = ends[j]
+            if b - a > _WIDEST:
+                break
+            gain = least_ratio * (j - i + 1) - (b - a)
+            if gain > 0 and _MIXED.match(text[a:b]):
+                found.append((-gain, a, b))
+    spans: list[tuple[int, int]] = []
+    for _, a, b in sorted(found):
+        at = bisect_left(spans, (a, b))
+        if (at == 0 or spans[at - 1][1] <= a) and (at == len(spans) or b <= spans[at][0]):
+            spans.insert(at, (a, b))
+    return spans
+
+
+def _within(run: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
+    """The random pieces of a run that is not random as a whole."""
+    known = [m.span() for m in _KNOWN_WITHIN.finditer(run) if _MIXED.match(m.group()) or len(m.group()) >= _NUMBERS]
+    found: list[tuple[int, int]] = []
+    for a, b in _gaps(0, len(run), known):
+        for m in _PART.finditer(run, a, b):
+            if _is_random(m.group(), encoder, least_ratio):
+                found.append(m.span())
+    for a, b in _gaps(0, len(run), known + found):
+        for x, y in _stretches(run[a:b], encoder, least_ratio):
+            # the whole part that a stretch begins or ends in, if it is random with it
+            x, y = a + x, a + y
+            left = max(run.rfind(c, a, x) for c in "/=_-") + 1 or a
+            right = min((at for c in "/=_-" if (at := run.find(c, y, b)) >= 0), default=b)
+            left = left if _is_random(run[left:y], encoder, least_ratio) else x
+            right = right if _is_random(run[left:right], encoder, least_ratio) else y
+            found.append((left, right))
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
+    return merged
+
+
 def random_spans(text: str, encoder, least_ratio: float = LEAST_RATIO) -> list[tuple[int, int, int]]:
-    """Runs of key characters that take many tokens for their length."""
+    """Runs of key characters that take many tokens for their length, or the pieces of a run that do."""
     found = []
     for m in RUN.finditer(text):
-        run = m.group()
-        if _MIXED.match(run) and not KNOWN.fullmatch(run) and len(run) < least_ratio * len(encoder.encode_ordinary(run)):
-            found.append((m.start(), 3, m.end()))
+        run, at = m.group(), m.start()
+        if KNOWN.fullmatch(run) or not _MIXED.match(run):
+            continue
+        if _is_random(run, encoder, least_ratio):
+            found.append((at, 3, m.end()))
+        else:
+            found += [(at + a, 3, at + b) for a, b in _within(run, encoder, least_ratio)]
     return found
 
 
