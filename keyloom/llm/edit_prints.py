@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from keyloom.llm.common import in_batches
+from keyloom.plans.lineage import cut
 from keyloom.plans.ordering import sample_ranges
 
 SEED = 7_919
@@ -36,6 +37,7 @@ _DEPTHS = (64, 32, 16, 8, 4, 2, 1, 1)
 _BLOCK_CHARS = 12_000_000
 _SIDE_BY_SIDE = 40
 _BROADCAST_RANGES = 200_000
+_BLOCK_MEMBERS = 256
 _RANGE = "__range"
 
 
@@ -248,9 +250,10 @@ def similar_neighbours(prints: DataFrame, least: float = SIMILAR) -> DataFrame:
     """``a, b, likeness``: fingerprints found alike over bands of sampled places, then compared.
 
     ``prints`` has ``fingerprint`` and ``doc_id``; equal fingerprints count once, under their
-    smallest doc_id.  In every band's bucket each fingerprint is compared with the next one in
-    the order of its digits, so a bucket costs its size, not its square; texts close to each
-    other meet in several of the bands.
+    smallest doc_id.  All members of a band's bucket are compared with each other.  A bucket is
+    dealt by hash into blocks of about ``_BLOCK_MEMBERS``, and every two blocks meet under a key of
+    their own, so a large bucket is many even tasks and loses no pair; its cost is its square, as
+    is the number of pairs that a family of similar texts has.
     """
     from pyspark.sql.functions import pandas_udf
 
@@ -275,11 +278,15 @@ def similar_neighbours(prints: DataFrame, least: float = SIMILAR) -> DataFrame:
 
         return pd.Series([likeness(x, y) for x, y in zip(left, right)])
 
-    bucket = Window.partitionBy("key").orderBy("fingerprint")
-    laid = one.select("doc_id", "fingerprint", F.explode(keys("fingerprint")).alias("key"))
-    beside = laid.withColumns({"next_id": F.lead("doc_id").over(bucket), "next_print": F.lead("fingerprint").over(bucket)}).where("next_print IS NOT NULL")
+    laid = cut(one.select("doc_id", "fingerprint", F.explode(keys("fingerprint")).alias("key")))
+    sizes = laid.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    blocks = F.ceil(F.col("members") / _BLOCK_MEMBERS).cast("int")
+    dealt = laid.join(sizes, "key").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fingerprint"), "blocks").cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = met.where("own <= other").select("key", F.col("own").alias("x"), F.col("other").alias("y"), F.col("doc_id").alias("id_p"), F.col("fingerprint").alias("p"))
+    right = met.where("other <= own").select("key", F.col("other").alias("x"), F.col("own").alias("y"), F.col("doc_id").alias("id_q"), F.col("fingerprint").alias("q"))
+    beside = left.join(right, ["key", "x", "y"]).where("x < y OR p < q")
     pairs = beside.select(
-        F.least("doc_id", "next_id").alias("a"), F.greatest("doc_id", "next_id").alias("b"),
-        F.least("fingerprint", "next_print").alias("p"), F.greatest("fingerprint", "next_print").alias("q"),
+        F.least("id_p", "id_q").alias("a"), F.greatest("id_p", "id_q").alias("b"), F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")
     ).distinct()
     return pairs.withColumn("likeness", compared("p", "q")).where(F.col("likeness") >= least).select("a", "b", "likeness")
