@@ -2,14 +2,15 @@
 
 Texts are cut into pre-tokens with their positions, block by block: a block is some megabytes of
 documents, in which every pre-token is a number (of its place in the block's list of distinct
-words).  The lists are exploded by a hash of the word, so that all mentions of a word meet in
-one task, once per block however often the word occurs, and it is encoded once (again only if a
-bucket has more than ``KEPT_WORDS`` distinct words: memory stays bounded).  The ids go back
-to the blocks, where the positions put them together again.  Decoding joins the ids with the
-table of token bytes.
-
-Blocks are written to the shared folder before the shuffle, so a lost executor repeats only its
-part, and a block keeps its number.
+words).  One shuffle deals the blocks' texts out by block and their word lists by a hash of the
+word, so that all mentions of a word meet in one task, once per block however often the word
+occurs, and it is encoded once (again only if a bucket has more than ``KEPT_WORDS`` distinct
+words: memory stays bounded).  The ids go back to where their block's texts already are, and
+the positions put them together again.  Decoding joins the ids with the table of token bytes.
+
+Texts and word lists cross the network once and are stored nowhere else, so a block must come out
+the same when a lost executor's part is done again: ``encode_texts`` writes an input down first
+unless told that it is read from files as it is.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import base64
 import hashlib
 import math
 import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,41 +26,43 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from keyloom.llm.common import gather, in_batches, texts_of
 from keyloom.plans.lineage import scratch_path
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 PACK_WORDS = 200_000
 #: Least number of buckets of words, and distinct words of one bucket that a task keeps.
 BUCKETS = 64
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 _WORDS, _TEXTS = 0, 1
 #: Level at which blocks and lists are compressed, and the code of a number beyond two bytes.
 LEVEL = 9
 _WIDE = 0xFFFF
 
 
-@lru_cache(maxsize=2)
-def pre_tokens(pattern: str) -> re.Pattern:
-    """The pattern with its Unicode classes written out, which the standard matcher runs fastest.
+@lru_cache(maxsize=8)
+def library_class(name: str) -> str:
+    """Characters of a Unicode class such as ``\\p{L}`` as ranges, as the library's own matcher takes them.
 
-    Letters, numbers and white space are those of the Unicode tables that come with Python.
+    Its Unicode tables are others than Python's, and letters of newer versions are cut
+    differently.  All characters are put through an encoder of single bytes, which leaves out
+    what the class does not match.
     """
-    ranges: dict[str, list[str]] = {"L": [], "N": []}
-    for kind, out in ranges.items():
-        start = None
-        for code in range(0x110001):
-            inside = code < 0x110000 and unicodedata.category(chr(code))[0] == kind
-            if inside and start is None:
-                start = code
-            elif not inside and start is not None:
-                out.append(f"\\U{start:08x}-\\U{code - 1:08x}")
-                start = None
-    space = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-    letters, numbers = "".join(ranges["L"]), "".join(ranges["N"])
-    inner = {r"\s": space, r"\p{L}": letters, r"\p{N}": numbers}
+    import tiktoken
+
+    probe = tiktoken.Encoding("probe", pat_str=name, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    inside = np.array([ord(c) for c in bytes(probe.encode_ordinary(every)).decode()], dtype=np.int64)
+    starts = np.flatnonzero(np.diff(inside, prepend=-2) > 1)
+    ends = np.append(starts[1:], len(inside)) - 1
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(inside[starts].tolist(), inside[ends].tolist()))
+
+
+def written_out(pattern: str) -> str:
+    """The pattern with its Unicode classes written out, which the standard matcher runs fastest."""
+    inner = {name: library_class(name) for name in (r"\s", r"\p{L}", r"\p{N}")}
 
     def in_class(m: re.Match) -> str:
         body = m.group()
@@ -69,10 +71,15 @@ def pre_tokens(pattern: str) -> re.Pattern:
         return body
 
     out = re.sub(r"\[[^\]]*\]", in_class, pattern)
-    for name, chars in ((r"\p{L}", letters), (r"\p{N}", numbers)):
-        out = out.replace(name, f"[{chars}]")
-    out = out.replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
-    return re.compile(out)
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        out = out.replace(name, f"[{inner[name]}]")
+    return out.replace(r"\S", f"[^{inner[chr(92) + 's']}]")
+
+
+@lru_cache(maxsize=2)
+def pre_tokens(written: str) -> re.Pattern:
+    """The matcher of a pattern from ``written_out``."""
+    return re.compile(written)
 
 
 @lru_cache(maxsize=2)
@@ -173,28 +180,31 @@ def unpack_numbers(packed: bytes) -> np.ndarray:
 
 
 _TYPES = {
-    "block": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "doc_ids": pa.list_(pa.int64()), "lengths": pa.list_(pa.int32()), "payload": pa.binary(),
+    "meet": pa.int64(), "block": pa.int64(), "kind": pa.int32(), "doc_ids": pa.list_(pa.int64()), "lengths": pa.list_(pa.int32()), "payload": pa.binary(),
 }
-_SCHEMA = "block long, kind int, bucket int, doc_ids array<bigint>, lengths array<int>, payload binary"
+_SCHEMA = "meet long, block long, kind int, doc_ids array<bigint>, lengths array<int>, payload binary"
 
 
-def _row(block: int, kind: int, bucket: int, doc_ids: list | None, lengths: list | None, payload: bytes) -> pa.RecordBatch:
-    out = [[block], [kind], [bucket], [doc_ids], [lengths], [payload]]
+def _row(meet: int, block: int, kind: int, doc_ids: list | None, lengths: list | None, payload: bytes) -> pa.RecordBatch:
+    out = [[meet], [block], [kind], [doc_ids], [lengths], [payload]]
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, _TYPES.values())], names=list(_TYPES))
 
 
 def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> DataFrame:
     """Blocks of documents as word numbers (``kind`` 1), and their word lists by bucket (0).
 
+    ``meet`` says where a row has to go: a text to its block, a list to its bucket (these are below zero).
     Words are numbered from the most frequent of their block on, which keeps the numbers small;
     those that occur once come last, in the order of the texts, so their numbers need no room.
     A word list holds words of one bucket and the steps between their numbers; ``lengths`` of the
     texts count words.
     """
+    written = written_out(pattern)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        cut = pre_tokens(pattern).findall
+        cut = pre_tokens(written).findall
         block = TaskContext.get().partitionId() << 32
         numbers: dict[str, int] = {}
         doc_ids: list = []
@@ -212,18 +222,20 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
                 held += len(text)
                 if held >= PACK_WORDS or stop == len(texts):
                     some = texts[start:stop]
-                    yield _row(block, _TEXTS, 0, doc_ids[start:stop], [len(t) for t in some], pack_numbers(rank[np.concatenate(some)], once))
+                    yield _row(block, block, _TEXTS, doc_ids[start:stop], [len(t) for t in some], pack_numbers(rank[np.concatenate(some)], once))
                     start, held = stop, 0
             met = list(numbers)
             words = [met[i].encode() for i in order.tolist()]
-            of = np.array([zlib.crc32(w) % buckets for w in words], dtype=np.int64)
+            of = np.fromiter((zlib.crc32(w) % buckets for w in words), dtype=np.int32, count=len(words))
+            sides = np.argsort(of, kind="stable").astype(np.int32)
+            cuts = np.searchsorted(of[sides], np.arange(buckets + 1))
             for bucket in range(buckets):
-                mine = np.flatnonzero(of == bucket)
+                mine = sides[cuts[bucket] : cuts[bucket + 1]]
                 if len(mine):
                     # a word may hold any byte, so the list carries lengths
                     some = [words[i] for i in mine]
                     head = np.concatenate((np.diff(mine, prepend=0), [len(w) for w in some]))
-                    yield _row(block, _WORDS, bucket, None, None, _squeeze(np.array([len(some)], "<u4").tobytes() + _raw_planes(head) + b"".join(some)))
+                    yield _row(-1 - bucket, block, _WORDS, None, None, _squeeze(np.array([len(some)], "<u4").tobytes() + _raw_planes(head) + b"".join(some)))
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
@@ -244,14 +256,15 @@ def cut_into_blocks(df: DataFrame, pattern: str, buckets: int = BUCKETS) -> Data
 
 
 def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
-    """Ids for the words of all lists; the lists of a bucket come together, each word once.
+    """Ids for the words of all lists, which come sorted by bucket; of a bucket each word once.
 
-    Returns rows like the lists': steps, then how many ids each has, then the ids.
+    Returns rows like the lists', which have to go to their block: steps, then how many ids each
+    has, then the ids.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bucket, known = ranks(ranks_path), None, {}
         for batch in batches:
-            for block, of, payload in zip(*(batch.column(n).to_pylist() for n in ("block", "bucket", "payload"))):
+            for of, block, payload in zip(*(batch.column(n).to_pylist() for n in ("meet", "block", "payload"))):
                 if of != bucket:
                     bucket, known = of, {}
                 raw = zstandard.decompress(payload)
@@ -268,10 +281,9 @@ def encode_lists(lists: DataFrame, ranks_path: str) -> DataFrame:
                         ids = known[word] = np.array(encode_word(word, table), dtype="<u4").tobytes()
                     out.append(ids)
                 sizes = np.array([len(i) // 4 for i in out], dtype=np.int64)
-                yield _row(block, _WORDS, of, None, [n], _planes(np.concatenate((steps, sizes, np.frombuffer(b"".join(out), "<u4")))))
+                yield _row(block, block, _WORDS, None, [n], _planes(np.concatenate((steps, sizes, np.frombuffer(b"".join(out), "<u4")))))
 
-    met = lists.repartition("bucket").sortWithinPartitions("bucket").select("block", "bucket", "payload")
-    return in_batches(met, run, _SCHEMA)
+    return in_batches(lists.sortWithinPartitions("meet"), run, _SCHEMA)
 
 
 def buckets_for(partitions: int) -> int:
@@ -283,52 +295,54 @@ def buckets_for(partitions: int) -> int:
     return max(BUCKETS, 8 * math.isqrt(partitions))
 
 
-def encode_texts(df: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
+def _of_kind(kind: int) -> Column:
+    """Rows of a kind; tied to the task that reads them, so that it is not asked before the shuffle that both kinds share."""
+    return F.when(F.spark_partition_id() >= 0, F.col("kind")) == kind
+
+
+def encode_texts(df: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None, stable: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids`` (32-bit little-endian) for every row of ``df``.
 
-    ``buckets`` of words follow the number of input partitions if not given.
+    ``buckets`` of words follow the number of input partitions if not given.  ``stable`` says that
+    ``df`` reads files, so that a repeated task meets the same rows in the same order; any other
+    input is written down first.
 
     The ids are those of the ranks' own encoder on each match of ``pattern``, special strings
     being ordinary text.  Null text counts as empty (no ids).  Null doc_ids and repeated rows
     stay rows of their own, as positions belong to rows and not to identifiers; texts are taken
     whole; an empty table gives no rows; other columns are not read.
     """
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, "word-blocks")
-    docs = df.select("doc_id", "text")
-    cut_into_blocks(docs, pattern, buckets or buckets_for(docs.rdd.getNumPartitions())).write.option("compression", "uncompressed").parquet(path)
-    blocks = spark.read.parquet(path)
-    found = encode_lists(blocks.where(F.col("kind") == _WORDS), ranks_path)
+    spark, docs = df.sparkSession, df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not stable:
+        path = scratch_path(spark, "texts")
+        docs.write.parquet(path)
+        docs = spark.read.parquet(path)
+    dealt = cut_into_blocks(docs, pattern, buckets or buckets_for(docs.rdd.getNumPartitions())).repartition("meet")
+    found = encode_lists(dealt.where(_of_kind(_WORDS)), ranks_path)
     types = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids": pa.binary()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, lists, table = None, [], None
-        for batch in batches:
-            for of, kind, doc_ids, lengths, payload in zip(*(batch.column(n).to_pylist() for n in ("block", "kind", "doc_ids", "lengths", "payload"))):
-                if of != block:
-                    block, lists, table = of, [], None
-                if kind == _WORDS:
-                    lists.append((lengths[0], _from_planes(payload)))
-                    continue
-                if table is None:
-                    table, lists = _word_table(lists), []
-                values, starts, sizes = table
-                words = unpack_numbers(payload)
-                ids = gather(values, starts[words], sizes[words])
-                counts = np.concatenate(([0], np.cumsum(sizes[words])))
-                ends = np.cumsum([0, *lengths])
-                at = counts[ends].tolist()
-                out = [doc_ids, np.diff(at), [ids[a:b].tobytes() for a, b in zip(at, at[1:])]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, types.values())], names=list(types))
-
-    sides = blocks.where(F.col("kind") == _TEXTS).union(found)
-    met = sides.repartition("block").sortWithinPartitions("block", "kind").select("block", "kind", "doc_ids", "lengths", "payload")
-    return in_batches(met, run, "doc_id long, n_tokens long, ids binary")
+    def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
+        values, starts, sizes = _word_table([(n[0], _from_planes(p)) for n, p in zip(lists.column("lengths").to_pylist(), lists.column("payload").to_pylist())])
+        doc_ids, counts, out = [], [], []
+        for own, lengths, payload in zip(*(texts.column(n).to_pylist() for n in ("doc_ids", "lengths", "payload"))):
+            words = unpack_numbers(payload)
+            ids = gather(values, starts[words], sizes[words])
+            at = np.concatenate(([0], np.cumsum(sizes[words], dtype=np.int64)))[np.cumsum([0, *lengths])].tolist()
+            doc_ids += own
+            counts += np.diff(at).tolist()
+            out += [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+        return pa.table([pa.array(c, type=t) for c, t in zip((doc_ids, counts, out), types.values())], names=list(types))
+
+    # Both sides are dealt by the block, the texts already.  Both readers of the first shuffle take
+    # all its columns: with other ones it would be another shuffle, and the texts be cut twice.
+    sides = dealt.where(_of_kind(_TEXTS)).groupBy("meet").cogroup(found.select("meet", "lengths", "payload").groupBy("meet"))
+    return sides.applyInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
 def _word_table(lists: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all words in a row, where each word's begin, how many it has), by word number."""
     n = sum(k for k, _ in lists)
-    starts, sizes = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    starts, sizes = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
     values, base = [], 0
     for k, read in lists:
         numbers, lengths, ids = np.cumsum(read[:k]), read[k : 2 * k], read[2 * k :]
@@ -371,9 +385,9 @@ def decode_ids(df: DataFrame, ranks_path: str) -> DataFrame:
     return in_batches(df.select("doc_id", "n_tokens", "ids"), run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
-def round_trip(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, stable: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row: encoded, then decoded."""
-    decoded = decode_ids(encode_texts(df, ranks_path, pattern), ranks_path)
+    decoded = decode_ids(encode_texts(df, ranks_path, pattern, stable=stable), ranks_path)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
