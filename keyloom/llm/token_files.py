@@ -1,10 +1,11 @@
 """Token files: id sequences in document order, grammar-compressed per shard.
 
 Re-Pair replaces frequent pairs of neighbouring symbols by new ones and writes down the rules.
-Here a round counts all pairs of a shard and replaces the most frequent ones together, leftmost
-first where they overlap; rounds go on until they gain little.  Rules keep the length they
-expand to, and a table of places lets a single document be decoded without the rest of its shard.
-No rule reaches over the end of a document.
+Here a round counts all pairs of a shard and replaces the most frequent one together with all
+that are at least 0.07 times as frequent, leftmost first where they overlap; rounds go on until no
+pair occurs often enough to pay for its rule, or the symbols' two bytes are used up.  Rules keep
+the length they expand to, and a table of places lets a single document be decoded without the
+rest of its shard.  No rule reaches over the end of a document.
 
 A shard is one row of a Parquet container, so that Spark's writer commits it once even if tasks
 are repeated.  The payload's layout, little-endian:
@@ -18,12 +19,14 @@ are repeated.  The payload's layout, little-endian:
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +37,10 @@ from keyloom.plans.lineage import scratch_path
 
 END_ID = 1
 SHARD_IDS = 1_000_000
-RULES_PER_ROUND = 2_600
-ROUNDS = 6
-LEAST_GAIN = 0.03
-LEAST_COUNT = 24
+#: A round replaces the pairs at least so frequent as its most frequent one.
+ROUND_SHARE = 0.07
+#: Bytes of a rule; a pair is replaced if the symbols it saves take more.
+RULE_BYTES = 12
 SKIP = 1024
 
 _HEAD = struct.Struct("<4sIIQQI")
@@ -84,40 +87,50 @@ class WordEncoder:
             out += [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(some) else self._encode(some)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Put words into the table."""
+    def learn(self, met: set[str]) -> None:
+        """Put words into the table: letters and the marks behind them by themselves, any other word whole."""
         if len(self.parts) > _WORDS:
             self.parts = {"": b""}
-        parts, plain, other, letters, marks = self.parts, [], [], {}, {}
-        for word in words:
-            head = word.rstrip(_MARKS)
-            tail = word[len(head) :]
-            if head not in parts:
-                if not _LETTERS.fullmatch(head):
-                    other.append(word)
-                    continue
-                letters[head] = None
-            if tail not in parts:
-                marks[tail] = None
-            plain.append((word, head, tail))
-        parts.update(zip(letters, self._encode_letters(list(letters))))
-        parts.update(zip(marks, self._encode(list(marks))))
-        for word, head, tail in plain:
-            self.words[word] = parts[head] + parts[tail] if tail else parts[head]
+        parts, words = self.parts, list(met)
+        heads = list(map(str.rstrip, words, repeat(_MARKS)))
+        tails = [w[len(h) :] for w, h in zip(words, heads)]
+        # the vocabulary lowers letters itself; these have one lower form
+        heads = list(map(str.lower, heads))
+        new = list(set(heads).difference(parts))
+        letters = list(compress(new, map(_LETTERS.fullmatch, new)))
+        parts.update(zip(letters, self._encode_letters(letters)))
+        marks = list(set(tails).difference(parts))
+        parts.update(zip(marks, self._encode(marks)))
+        found = list(map(parts.get, heads))
+        other = [w for w, ids in zip(words, found) if ids is None]
+        self.words.update((w, ids + parts[tail]) for w, ids, tail in zip(words, found, tails) if ids is not None)
         self.words.update(zip(other, self._encode(other)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        # many objects are made and none in cycles
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_texts(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_texts(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > 2 * _WORDS:
+            self.words.clear()
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        known, met = self.words, set().union(*(words for words in split if words))
-        new = {w for w in met if w not in known}
-        if len(known) + len(new) > 2 * _WORDS:
-            # a table that is emptied now would lose what these texts need
-            known.clear()
-            new = met
+        found = [None if words is None else list(map(self.words.get, words)) for words in split]
+        new: set[str] = set()
+        for words, ids in zip(split, found):
+            if ids and None in ids:
+                new.update(compress(words, [x is None for x in ids]))
         if new:
             self.learn(new)
-        table = self.words.__getitem__
-        return [np.frombuffer(self._encode([t])[0] if w is None else b"".join(map(table, w)), dtype="<u4") for t, w in zip(texts, split)]
+            for words, ids in zip(split, found):
+                if ids and None in ids:
+                    ids[:] = [self.words[w] if x is None else x for x, w in zip(ids, words)]
+        return [np.frombuffer(self._encode([t])[0] if ids is None else b"".join(ids), dtype="<u4") for t, ids in zip(texts, found)]
 
 
 @lru_cache(maxsize=2)
@@ -129,21 +142,21 @@ def _bins(keys: np.ndarray) -> np.ndarray:
     return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
 
-def pair_rules(ids: np.ndarray, first_new: int, end_id: int = END_ID, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray]:
+def pair_rules(ids: np.ndarray, first_new: int, end_id: int = END_ID, share: float = ROUND_SHARE) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): ``rules[k]`` are the two symbols that ``first_new + k`` stands for."""
     seq, rules = ids.astype(np.uint32), np.zeros((0, 2), dtype=np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    most, width = ((1 << 16) - first_new, 2) if first_new < 1 << 16 else ((1 << 32) - first_new, 4)
+    least = RULE_BYTES // width + 1
+    while len(seq) > 1 and len(rules) < most:
         keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         inside = (seq[:-1] != end_id) & (seq[1:] != end_id)
         bins = _bins(keys)
-        heavy = np.bincount(bins[inside], minlength=_BINS) >= LEAST_COUNT
+        heavy = np.bincount(bins[inside], minlength=_BINS) >= least
         pairs, counts = np.unique(keys[inside & heavy[bins]], return_counts=True)
-        often = np.flatnonzero(counts >= LEAST_COUNT)
+        often = np.flatnonzero(counts >= max(least, share * counts.max(initial=0)))
         if not len(often):
             break
-        often = often[np.lexsort((pairs[often], -counts[often]))[:per_round]]
+        often = often[np.lexsort((pairs[often], -counts[often]))[: most - len(rules)]]
         chosen = np.sort(pairs[often])
         marked = np.zeros(_BINS, dtype=bool)
         marked[_bins(chosen)] = True
@@ -160,11 +173,9 @@ def pair_rules(ids: np.ndarray, first_new: int, end_id: int = END_ID, rounds: in
         seq[at] = first_new + len(rules) + rule
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
-        before, seq = len(seq), seq[keep]
+        seq = seq[keep]
         found = chosen[used]
         rules = np.concatenate((rules, np.stack((found >> np.uint64(32), found & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32)))
-        if before - len(seq) < LEAST_GAIN * before:
-            break
     return seq, rules
 
 
@@ -296,9 +307,11 @@ def write_token_files(df: DataFrame, vocabulary: str, path: str, shard_ids: int
         if documents:
             yield shard()
 
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    in_batches(ordered, run, schema).write.mode("overwrite").parquet(path)
+    # rows that share a doc_id, or have none, are told apart by a hash, so that many of them are many ranges
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("mark")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    in_batches(ordered.select("doc_id", "text"), run, schema).write.mode("overwrite").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -337,7 +350,7 @@ def token_file_rows(df: DataFrame, vocabulary: str, path: str | None = None) ->
     """Write token files and return ``doc_id, start, n_tokens, ids_crc32`` read back from them.
 
     Null text counts as empty (the end id only).  A row without doc_id comes first; rows that
-    share one follow each other in text order; texts are encoded whole, without truncation; an
+    share one follow each other in an order of their texts; texts are encoded whole, without truncation; an
     empty table gives no rows; other columns are not read.
     """
     spark = df.sparkSession
