@@ -3,9 +3,10 @@
 import hashlib
 
 import corpus_pipeline as pipeline
-from keyloom.llm import byte_bpe, language_id
+from keyloom.llm import byte_bpe
 from tests.conftest import DATA
-from tests.llm.test_operators import HARD, SCHEMA, library_encoder, low, plain_components, plain_print
+from tests.llm.test_near_copies import brute
+from tests.llm.test_operators import HARD, SCHEMA, library_encoder, low
 
 
 def test_stages(spark):
@@ -26,9 +27,7 @@ def test_stages(spark):
     assert exact.columns == pipeline.COLUMNS and {r.doc_id for r in exact.collect()} == set(first.values())
 
     near = stages["near dedup"](spark, exact, DATA).cache()
-    prints = {d: plain_print(rows[d].text) for d in first.values()}
-    linked = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
-    want = set(plain_components(prints, linked).values())
+    want, _ = brute([(d, rows[d].text) for d in first.values()])
     assert near.columns == pipeline.COLUMNS and {r.doc_id for r in near.collect()} == want
 
     mixed = stages["mix"](spark, near, DATA).cache()
@@ -61,7 +60,3 @@ def test_hard_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for name, stage in pipeline.STAGES:
         assert stage(spark, empty, DATA).count() == 0, name
-
-
-def test_threshold_is_that_of_chance():
-    assert abs(pipeline.LEAST_COSINE**2 * language_id.DIMENSIONS - 1) < 1e-9
