@@ -1,17 +1,19 @@
 """Exact duplicates by sorting content, in DataFrame operations only.
 
-Splitters sampled from (start of the normalised text, its hash, doc_id) cut the sort order into
-ranges of about equal row count.  Each range is sorted by the normalised text itself, so equal
-texts are neighbours, and every row is compared in full with the row before it.  The doc_id in
-the splitters cuts even a group of copies that holds a third of all rows; what such a group has
-in the ranges it spans is put together over one row per range, again by full comparison.
+Splitters sampled from (first characters of the normalised text, its hash, doc_id) cut the sort
+order into ranges of about equal row count: texts are in order of their first 32 characters, then of
+a hash, which splits texts that begin alike better than more of their bytes, and of their bytes
+where that is equal too.  So equal texts are neighbours, and every row is compared in full with the
+row before it.  The doc_id in the splitters cuts even a group of copies that holds a third of all
+rows; what such a group has in the ranges it spans is put together over one narrow row per range:
+digests say which ranges may go on in the next one, and the texts of those are compared in full.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from keyloom.plans.lineage import scratch_path
+from keyloom.plans.lineage import cut as cut_lineage, scratch_path
 from keyloom.plans.ordering import sample_ranges
 
 LARGEST, SMALLEST = "largest", "smallest"
@@ -67,15 +69,21 @@ def _sorted_runs(df: DataFrame, keep: str, survivors: bool) -> tuple[DataFrame,
     local.write.parquet(path)
     rows = spark.read.parquet(path)
 
-    # one row per range: its first and last run, and their texts
-    ends = rows.where("__top OR __end").groupBy(_RANGE).agg(
-        F.max(F.when(F.col("__top"), F.struct("__text"))).alias("top"), F.max(F.when(F.col("__end"), F.struct("__text"))).alias("end"),
+    # one row per range: its first and last run, and the digests of their texts
+    edges = rows.where("__top OR __end")
+    ends = edges.groupBy(_RANGE).agg(
+        F.max(F.when(F.col("__top"), F.col("__sha"))).alias("top"), F.max(F.when(F.col("__end"), F.col("__sha"))).alias("end"),
         F.max("__run").alias("runs"),
         F.max(F.when(F.col("__top"), F.struct("__keep", "__size"))).alias("top_run"),
         F.max(F.when(F.col("__end"), F.struct("__keep", "__size"))).alias("end_run"),
     )
     along = Window.orderBy(_RANGE)
-    joined = ends.withColumn("goes_on", F.coalesce(F.col("top") == F.lag("end").over(along), F.lit(False))).withColumn(
+    beside = cut_lineage(ends.withColumns({"before": F.lag(_RANGE).over(along), "meets": F.col("top") == F.lag("end").over(along)}))
+    first = edges.where("__top").select(F.col(_RANGE).alias("x"), F.col("__text").alias("first"))
+    last = edges.where("__end").select(F.col(_RANGE).alias("y"), F.col("__text").alias("last"))
+    pairs = beside.where("meets").select(F.col(_RANGE).alias("x"), F.col("before").alias("y"))
+    equal = pairs.join(first, "x").join(last, "y").where("first = last").select("x", F.lit(True).alias("equal"))
+    joined = beside.join(equal, F.col(_RANGE) == F.col("x"), "left").withColumn("goes_on", F.coalesce("equal", F.lit(False))).withColumn(
         "opens", F.when(~(F.col("goes_on") & (F.col("runs") == 1)), F.col(_RANGE))
     )
     joined = joined.withColumn("opened", F.max("opens").over(along.rowsBetween(Window.unboundedPreceding, -1)))

@@ -29,6 +29,10 @@ UNKNOWN = "und"
 _BLOCK_BYTES = 2 << 20
 _COUNTED_GRAMS = 400_000
 _BITS = 21  # of a code point
+#: Cells of a dense table of counts, n-grams whose vectors are held at once, and characters of a piece of a text.
+_DENSE_CELLS = 4 << 20
+_SLICE = 8192
+_PIECE = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -47,11 +51,57 @@ def gram_vectors(grams: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
     out = np.ones((len(grams), dimensions), dtype=np.int8)
     for place in range(ORDER):
         codes, which = np.unique((grams >> (_BITS * place)) & ((1 << _BITS) - 1), return_inverse=True)
-        letters = np.array([np.roll(_letter_vector(int(c), dimensions, seed), place) for c in codes], dtype=np.int8).reshape(-1, dimensions)
-        out *= letters[which]
+        letters = np.array([_letter_vector(int(c), dimensions, seed) for c in codes], dtype=np.int8).reshape(-1, dimensions)[which]
+        turn = place % dimensions
+        out[:, turn:] *= letters[:, : dimensions - turn]
+        out[:, :turn] *= letters[:, dimensions - turn :]
     return out.astype(np.float32)
 
 
+def pieces(text: str) -> Iterator[str]:
+    """The text cut between words into pieces of about ``_PIECE`` characters: their n-grams are those of the text.
+
+    A word that is longer than that is not cut.
+    """
+    start, end = 0, len(text)
+    while end - start > 2 * _PIECE:
+        at = start + _PIECE
+        while at < end and text[at].isalpha():
+            at += 1
+        yield text[start:at]
+        start = at
+    yield text[start:]
+
+
+def profiles(texts: list[str], dimensions: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bundled vectors, number of n-grams) per text.
+
+    Few different n-grams: a dense table of counts times their vectors.  Many, as in scripts of
+    thousands of letters: the vectors of a slice of (text, n-gram) pairs at a time, added up by
+    text, so that memory follows the slice.
+    """
+    n = len(texts)
+    grams, which, owner = letter_grams(texts)
+    if not len(grams):
+        return np.zeros((n, dimensions), np.float32), np.zeros(n, np.int64)
+    size = np.bincount(owner, minlength=n)
+    if n * len(grams) <= _DENSE_CELLS:
+        counts = np.bincount(owner * len(grams) + which, minlength=n * len(grams)).reshape(n, -1).astype(np.float32)
+        out = np.zeros((n, dimensions), np.float32)
+        for at in range(0, len(grams), _SLICE):
+            out += counts[:, at : at + _SLICE] @ gram_vectors(grams[at : at + _SLICE], dimensions, seed)
+        return out, size
+    pairs, often = np.unique(owner * len(grams) + which, return_counts=True)
+    out = np.zeros((n, dimensions), np.float32)
+    for at in range(0, len(pairs), _SLICE):
+        some = pairs[at : at + _SLICE]
+        text, gram = np.divmod(some, len(grams))
+        vectors = gram_vectors(grams[gram], dimensions, seed) * often[at : at + _SLICE, None].astype(np.float32)
+        begin = np.flatnonzero(np.diff(text, prepend=-1))
+        out[text[begin]] += np.add.reduceat(vectors, begin, axis=0)
+    return out, size
+
+
 def letter_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct packed n-grams, their number per occurrence, text per occurrence).
 
@@ -112,19 +162,21 @@ def gram_counts(df: DataFrame) -> DataFrame:
 
         for batch in batches:
             for part in blocks(batch, size=_BLOCK_BYTES):
-                langs = part.column("lang").to_pylist()
-                grams, which, owner = letter_grams(texts_of(part))
+                langs, texts = part.column("lang").to_pylist(), texts_of(part)
                 names = sorted(set(langs))
-                number = np.array([names.index(x) for x in langs], dtype=np.int64)
-                if not len(grams):
-                    continue
-                table = np.bincount(number[owner] * len(grams) + which, minlength=len(names) * len(grams)).reshape(len(names), -1)
-                for name, row in zip(names, table):
-                    mine, some = held[name], np.flatnonzero(row)
-                    for gram, n in zip(grams[some].tolist(), row[some].tolist()):
-                        mine[gram] += n
-                if sum(map(len, held.values())) > _COUNTED_GRAMS:
-                    yield from flush()
+                place = {x: k for k, x in enumerate(names)}
+                number = np.array([place[x] for x in langs], dtype=np.int64)
+                # a block of one row may be a very long text
+                for some in [[x] for x in pieces(texts[0])] if len(texts) == 1 else [texts]:
+                    grams, which, owner = letter_grams(some)
+                    if not len(grams):
+                        continue
+                    pairs, often = np.unique(number[owner] * len(grams) + which, return_counts=True)
+                    lang, gram = np.divmod(pairs, len(grams))
+                    for x, g, n in zip(lang.tolist(), grams[gram].tolist(), often.tolist()):
+                        held[names[x]][g] += n
+                    if sum(map(len, held.values())) > _COUNTED_GRAMS:
+                        yield from flush()
         yield from flush()
 
     counted = in_batches(df.select("lang", "text"), run, "lang string, gram long, n long")
@@ -171,16 +223,14 @@ def predict_language(df: DataFrame, prototypes: dict[str, np.ndarray], keep: tup
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "__text", size=_BLOCK_BYTES):
-                n = part.num_rows
-                grams, which, owner = letter_grams(texts_of(part, "__text"))
+                n, texts = part.num_rows, texts_of(part, "__text")
+                found = [profiles([x], dimensions, seed) for x in pieces(texts[0])] if n == 1 else [profiles(texts, dimensions, seed)]
+                own, with_letters = sum(p for p, _ in found), sum(k for _, k in found) > 0
                 names, scores = [UNKNOWN] * n, np.zeros(n)
-                if len(grams) and langs:
-                    counts = np.bincount(owner * len(grams) + which, minlength=n * len(grams)).reshape(n, -1)
-                    profiles = counts.astype(np.float32) @ gram_vectors(grams, dimensions, seed)
-                    size = np.linalg.norm(profiles, axis=1)
-                    cosines = (profiles @ sides.T) / np.maximum(size, 1e-9)[:, None]
+                if langs:
+                    size = np.linalg.norm(own, axis=1)
+                    cosines = (own @ sides.T) / np.maximum(size, 1e-9)[:, None]
                     best = cosines.argmax(axis=1)
-                    with_letters = counts.sum(axis=1) > 0
                     names = [langs[b] if some else UNKNOWN for b, some in zip(best, with_letters)]
                     scores = np.where(with_letters, np.clip(cosines[np.arange(n), best], 0.0, 1.0), 0.0)
                 arrays = [part.column(f.name) for f in fields] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]

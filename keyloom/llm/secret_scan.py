@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -51,6 +51,8 @@ _WIDEST = 64
 #: Numbers and dates of so many characters are no part of a key.
 _NUMBERS = 8
 _PART = re.compile(r"[A-Za-z0-9+]{20,}")
+_BREAK = re.compile(r"[/=_-]")
+_DIGITS, _LOWER, _UPPER = frozenset("0123456789"), frozenset("abcdefghijklmnopqrstuvwxyz"), frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _KNOWN_WITHIN = re.compile(rf"(?<![A-Za-z0-9])(?:{KNOWN.pattern})(?![A-Za-z0-9])")
 
 
@@ -86,11 +88,14 @@ def _gaps(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int,
     return out
 
 
-def _stretches(text: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
+def _tokens(text: str, encoder) -> tuple[list[int], list[int]]:
+    """(where tokens begin, where they end) in a text of ASCII characters."""
+    ends = list(accumulate(map(len, encoder.decode_tokens_bytes(encoder.encode_ordinary(text)))))
+    return [0, *ends[:-1]], ends
+
+
+def _stretches(text: str, starts: list[int], ends: list[int], least_ratio: float) -> list[tuple[int, int]]:
     """Disjoint stretches of tokens of the least length or more that are random; the most random of those that meet."""
-    lengths = [len(t) for t in encoder.decode_tokens_bytes(encoder.encode_ordinary(text))]
-    ends = list(accumulate(lengths))
-    starts = [0, *ends[:-1]]
     found = []
     for i, a in enumerate(starts):
         for j in range(bisect_left(ends, a + LEAST_LENGTH), len(ends)):
@@ -98,7 +103,7 @@ def _stretches(text: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
             if b - a > _WIDEST:
                 break
             gain = least_ratio * (j - i + 1) - (b - a)
-            if gain > 0 and _MIXED.match(text[a:b]):
+            if gain > 0 and _MIXED.match(text, a, b):
                 found.append((-gain, a, b))
     spans: list[tuple[int, int]] = []
     for _, a, b in sorted(found):
@@ -108,8 +113,34 @@ def _stretches(text: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
     return spans
 
 
+class _Stretch:
+    """A stretch of key characters, encoded once: what any part of it holds is the difference of two counts."""
+
+    def __init__(self, text: str, encoder):
+        self.text = text
+        self.starts, self.ends = _tokens(text, encoder)
+        self.breaks = [m.start() for m in _BREAK.finditer(text)]
+        self.counts = [[0, *accumulate(map(kind.__contains__, text))] for kind in (_DIGITS, _LOWER, _UPPER)]
+
+    def is_random(self, a: int, b: int, least_ratio: float) -> bool:
+        digits, lower, upper = (c[b] > c[a] for c in self.counts)
+        if not ((digits and (lower or upper)) or (lower and upper)):
+            return False
+        tokens = bisect_left(self.starts, b) - bisect_right(self.ends, a)
+        return b - a < least_ratio * tokens and not KNOWN.fullmatch(self.text, a, b)
+
+    def random_parts(self, least_ratio: float) -> Iterator[tuple[int, int]]:
+        """Its random stretches, each with the whole part between '/', '=', '_', '-' that it begins or ends in, if that is random with it."""
+        for x, y in _stretches(self.text, self.starts, self.ends, least_ratio):
+            before, behind = bisect_left(self.breaks, x), bisect_left(self.breaks, y)
+            left = self.breaks[before - 1] + 1 if before else 0
+            right = self.breaks[behind] if behind < len(self.breaks) else len(self.text)
+            left = left if self.is_random(left, y, least_ratio) else x
+            yield left, right if self.is_random(left, right, least_ratio) else y
+
+
 def _within(run: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
-    """The random pieces of a run that is not random as a whole."""
+    """The random pieces of a run that is not random as a whole; every character is encoded twice at most."""
     known = [m.span() for m in _KNOWN_WITHIN.finditer(run) if _MIXED.match(m.group()) or len(m.group()) >= _NUMBERS]
     found: list[tuple[int, int]] = []
     for a, b in _gaps(0, len(run), known):
@@ -117,14 +148,7 @@ def _within(run: str, encoder, least_ratio: float) -> list[tuple[int, int]]:
             if _is_random(m.group(), encoder, least_ratio):
                 found.append(m.span())
     for a, b in _gaps(0, len(run), known + found):
-        for x, y in _stretches(run[a:b], encoder, least_ratio):
-            # the whole part that a stretch begins or ends in, if it is random with it
-            x, y = a + x, a + y
-            left = max(run.rfind(c, a, x) for c in "/=_-") + 1 or a
-            right = min((at for c in "/=_-" if (at := run.find(c, y, b)) >= 0), default=b)
-            left = left if _is_random(run[left:y], encoder, least_ratio) else x
-            right = right if _is_random(run[left:right], encoder, least_ratio) else y
-            found.append((left, right))
+        found += [(a + x, a + y) for x, y in _Stretch(run[a:b], encoder).random_parts(least_ratio)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:
