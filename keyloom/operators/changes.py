@@ -73,6 +73,60 @@ def _settle(rows: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFra
         current = after.drop("__was")
 
 
+def _settle_conflicts(rows: DataFrame, specs: list[KeySpec], pos: str) -> DataFrame:
+    """``__p, __ok``: the verdict on each of ``rows``, taken in ``pos`` order: refused if an earlier accepted row has one of its keys.
+
+    Open rows are settled from the front.  A row that is the first open one of all its keys is
+    accepted.  A row with exactly one open row before it, over all its keys, has the opposite
+    verdict of that row: such rows are links of chains, and pointers along a chain are doubled, so
+    a chain of n rows takes log n passes.  Rows that share a key with an accepted one are refused
+    and leave with it.  Only rows that wait for several others need another round, and each round
+    settles at least the first open row.
+
+    Per key only the two first open rows are looked for, by partial minima, so a key of very many
+    rows is no single task.
+    """
+    names = [f"__k{i}" for i in range(len(specs))]
+    open_ = cut(rows.select(F.col(pos).alias("__p"), *[F.struct(*[F.col(c) for c in s.columns]).alias(k) for s, k in zip(specs, names)]))
+    verdicts = open_.select("__p", F.lit(True).alias("__ok")).limit(0)
+    while not open_.isEmpty():
+        ranked = open_
+        for i, k in enumerate(names):
+            first = open_.groupBy(F.col(k).alias("__g")).agg(F.min("__p").alias(f"__a{i}"))
+            ranked = ranked.join(first, ranked[k].eqNullSafe(first["__g"])).drop("__g")
+            second = ranked.where(F.col("__p") > F.col(f"__a{i}")).groupBy(F.col(k).alias("__g")).agg(F.min("__p").alias(f"__b{i}"))
+            ranked = ranked.join(second, ranked[k].eqNullSafe(second["__g"]), "left").drop("__g")
+        before = F.array_distinct(F.filter(F.array(*[F.when(F.col("__p") > F.col(f"__a{i}"), F.col(f"__a{i}")) for i in range(len(names))]), lambda a: a.isNotNull()))
+        several = F.size(before) > 1
+        for i in range(len(names)):
+            several = several | F.coalesce(F.col("__p") > F.col(f"__b{i}"), F.lit(False))
+        linked = ranked.select("__p", before.alias("before"), several.alias("several"))
+        # a pointer, how often the verdict turns along it, and whether it has come to the end of its chain
+        alone = F.col("several") | (F.size("before") == 0)
+        chains = cut(linked.select(
+            "__p", F.when(alone, F.col("__p")).otherwise(F.col("before")[0]).alias("to"), (~alone).alias("turned"), alone.alias("ended"),
+            (~F.col("several") & (F.size("before") == 0)).alias("known"),
+        ))
+        while not chains.where("NOT ended").isEmpty():
+            ahead = chains.select(F.col("__p").alias("at"), F.col("to").alias("on"), F.col("turned").alias("turns"), F.col("ended").alias("end"), F.col("known").alias("knows"))
+            moved = chains.join(ahead, chains["to"] == ahead["at"])
+            chains = cut(moved.select(
+                "__p", F.when(F.col("ended"), F.col("to")).otherwise(F.col("on")).alias("to"),
+                F.when(F.col("ended"), F.col("turned")).otherwise(F.col("turned") != F.col("turns")).alias("turned"),
+                (F.col("ended") | F.col("end")).alias("ended"), F.when(F.col("ended"), F.col("known")).otherwise(F.col("knows")).alias("known"),
+            ))
+        settled = chains.where("known").select("__p", (~F.col("turned")).alias("__ok"))
+        accepted = open_.join(settled.where("__ok"), "__p", "left_semi")
+        left = open_.join(settled, "__p", "left_anti").withColumn("__gone", F.lit(False))
+        for k in names:
+            taken = accepted.select(F.col(k).alias("__g")).distinct().withColumn("__hit", F.lit(True))
+            left = left.join(taken, left[k].eqNullSafe(taken["__g"]), "left").withColumn("__gone", F.col("__gone") | F.col("__hit").isNotNull()).drop("__g", "__hit")
+        left = cut(left)
+        verdicts = verdicts.union(settled).union(left.where("__gone").select("__p", F.lit(False).alias("__ok")))
+        open_ = left.where("NOT __gone").drop("__gone")
+    return verdicts
+
+
 def _judge_inserts(state: DataFrame, rows: DataFrame, keys: Keys, pos: Sequence[str]) -> tuple[DataFrame, list[KeySpec]]:
     specs = [as_key(k) for k in keys]
     out = rows.withColumn("__exists", F.lit(False))
@@ -86,7 +140,7 @@ def insert(
     state: DataFrame, rows: DataFrame, keys: Keys = (), pos: str = "pos", recnum: str = "recnum",
     identity: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Append rows in ``pos`` order, numbered from the largest record number on.
+    """Append rows in ``pos`` order (every row has its own), numbered from the largest record number on.
 
     Returns the new state and the rejected rows with a ``reason``: ``exists`` (the key is in
     the state) or ``repeated`` (an earlier accepted row has it).  ``identity`` names an
@@ -100,11 +154,10 @@ def insert(
         # one key: equal keys share their fate with the state, so the first occurrence wins
         judged = _blocked(judged, specs, [pos], "__ok").withColumn("__ok", F.col("__ok") & ~F.col("__blocked"))
     elif specs:
-        def judge(df: DataFrame) -> DataFrame:
-            seen = _blocked(df, specs, [pos], "__was")
-            return seen.withColumn("__ok", ~F.col("__exists") & ~F.col("__blocked")).drop("__blocked")
-
-        judged = _settle(judged, judge)
+        judged = cut(judged)
+        verdicts = _settle_conflicts(judged.where("__ok"), specs, pos).withColumnRenamed("__ok", "__verdict")
+        joined = judged.join(verdicts, judged[pos] == verdicts["__p"], "left")
+        judged = joined.withColumn("__ok", F.coalesce("__verdict", F.lit(False))).drop("__p", "__verdict")
     judged = cut(judged.drop("__blocked"))
     rejects = judged.where("NOT __ok").withColumn(
         "reason", F.when(F.col("__exists"), F.lit("exists")).otherwise(F.lit("repeated"))

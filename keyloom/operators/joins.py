@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from keyloom.functions.predicates import sort_columns
+from keyloom.functions.predicates import key_order, sort_columns
 from keyloom.layout import KeySpec, as_key
-from keyloom.plans.ordering import KeyRanges, borders_of, with_carried
+from keyloom.plans.lineage import cut
+from keyloom.plans.ordering import KeyRanges, borders_of, row_numbers, with_carried, with_running
 
 # Outcome codes of a lookup.
 FOUND = 0
@@ -154,6 +155,107 @@ def nearest_join(
     )
 
 
+def partial_join(
+    probes: DataFrame,
+    df: DataFrame,
+    key: KeySpec | str | Sequence[str],
+    op: str,
+    by: Sequence[str] = (),
+    probe_key: Sequence[str] | None = None,
+    probe_by: Sequence[str] | None = None,
+    recnum: str = "recnum",
+    take: Sequence[str] | None = None,
+    prefix: str = "",
+    ranges: int | None = None,
+) -> DataFrame:
+    """For every probe the first (``<``, ``<=``: last) record in key order, among those its asked segments allow.
+
+    A null in a probe puts no constraint on its segment, as a ``None`` value of a single lookup
+    does; ``=``, ``>``, ``>=``, ``<`` and ``<=`` compare the other segments.  A probe without any
+    asked segment finds the end of its group.  Null segments of records come first, as in any key
+    order.  ``take`` columns are returned as ``prefix + name``; ``status`` is 0, or 9 (4 for ``=``)
+    where there is no such record.
+
+    The records are numbered once in key order.  Probes are taken together by which segments they
+    ask for (their number is bounded by the segments, not by the data): records and those probes
+    lie on one order of the asked segments, and the smallest number from a probe's place on is
+    carried to it.  Only key columns and numbers are sorted; the records found are fetched by
+    number at the end.
+    """
+    if op not in ("=", ">", ">=", "<", "<="):
+        raise ValueError(f"unknown key comparison {op!r}")
+    key, by = as_key(key), list(by)
+    take = list(take or df.columns)
+    clash = sorted({prefix + c for c in take} & set(probes.columns))
+    if clash:
+        raise ValueError(f"probes and records share the columns {clash}; give a prefix")
+    segments, backward = key.segments, op.startswith("<")
+    groups = [f"__b{i}" for i in range(len(by))]
+    hidden = [f"__k{i}" for i in range(len(segments))]
+    asked = probes.select(
+        F.struct(*[F.col(c).alias(c) for c in probes.columns]).alias("__probe"),
+        *[F.col(c).alias(g) for c, g in zip(probe_by or by, groups)],
+        *[F.col(c).alias(h) for c, h in zip(probe_key or key.columns, hidden)],
+        F.xxhash64(*probes.columns, F.spark_partition_id()).alias("__tie"),
+    )
+    mask = F.lit(0)
+    for i, h in enumerate(hidden):
+        mask = mask + F.when(F.col(h).isNull(), F.lit(0)).otherwise(F.lit(1 << i))
+    asked = cut(asked.withColumn("__mask", mask))
+    whole = df.select(
+        *[F.col(c).alias(g) for c, g in zip(by, groups)], *[F.col(s.column).alias(h) for s, h in zip(segments, hidden)],
+        F.col(recnum).alias("__rn"), F.struct(*[F.col(c).alias(c) for c in take]).alias("__rec"),
+    )
+    order = [(g, False) for g in groups] + [(h, s.descending) for s, h in zip(segments, hidden)] + [("__rn", False)]
+    numbered = cut(row_numbers(whole, order, "__pos", ranges=ranges))
+    places = numbered.select(*groups, *hidden, "__pos")
+
+    found = []
+    for bits in sorted(r[0] for r in asked.select("__mask").distinct().collect()):
+        some = asked.where(F.col("__mask") == bits)
+        kept = [(h, s.descending) for i, (s, h) in enumerate(zip(segments, hidden)) if bits >> i & 1]
+        if op == "=" or not (kept or groups):
+            found.append(_first_equal(some, places, [*groups, *[h for h, _ in kept]], backward))
+            continue
+        # in ascending order, equal records come behind a probe that takes them when it looks up, before one that looks down
+        probe_first = (op in (">=", "<")) if kept else not backward
+        columns = [*groups, *[h for h, _ in kept]]
+        records = places.select(*columns, "__pos", F.lit(1 if probe_first else 0).alias("__side"), F.col("__pos").alias("__tie"))
+        beside = some.select(*columns, F.lit(0 if probe_first else 1).alias("__side"), "__tie", "__probe", F.lit(True).alias("__asks"))
+        together = records.unionByName(beside, allowMissingColumns=True)
+        line = [(g, False) for g in groups] + kept + [("__side", False), ("__tie", False)]
+        near = with_running(together, line, "__pos", "__near", largest=backward, backward=not backward, ranges=ranges)
+        found.append(near.where("__asks").select("__probe", *groups, "__near"))
+    if not found:
+        found.append(asked.select("__probe", *groups, F.lit(None).cast("long").alias("__near")))
+    near = found[0]
+    for more in found[1:]:
+        near = near.union(more)
+    mine = [f"__of{i}" for i in range(len(groups))]
+    records = numbered.select(F.col("__pos").alias("__near"), *[F.col(g).alias(m) for g, m in zip(groups, mine)], "__rec")
+    joined = near.join(records, "__near", "left")
+    # numbers go up from group to group, so a neighbour group's is met only where the own one has none
+    hit = F.col("__rec").isNotNull()
+    for g, m in zip(groups, mine):
+        hit = hit & F.col(g).eqNullSafe(F.col(m))
+    return joined.select(
+        *[F.col("__probe")[c].alias(c) for c in probes.columns],
+        *[F.when(hit, F.col("__rec")[c]).alias(f"{prefix}{c}") for c in take],
+        F.when(hit, F.lit(FOUND)).otherwise(F.lit(NO_SUCH_KEY if op == "=" else NO_SUCH_RECORD)).alias("status"),
+    )
+
+
+def _first_equal(asked: DataFrame, places: DataFrame, columns: list[str], last: bool) -> DataFrame:
+    """The first (or last) record's number per value of ``columns``, of all without any."""
+    pick = F.max if last else F.min
+    if not columns:
+        number = places.agg(pick("__pos")).first()[0]
+        return asked.select("__probe", F.lit(number).cast("long").alias("__near"))
+    firsts = places.groupBy(*[F.col(c).alias(f"__q{c}") for c in columns]).agg(pick("__pos").alias("__near"))
+    on = [asked[c].eqNullSafe(firsts[f"__q{c}"]) for c in columns]
+    return asked.join(firsts, on, "left").select("__probe", *[c for c in columns if c.startswith("__b")], "__near")
+
+
 def _nearest_to_borders(records: DataFrame, borders: KeyRanges, op: str) -> DataFrame:
     """Only the record next to each probe key matters: one per gap and map task is shuffled."""
     placed = borders.assign(records, "__gap", strict=op in (">", "<="))

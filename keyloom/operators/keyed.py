@@ -17,7 +17,8 @@ from keyloom.functions.predicates import (
     where_terms,
 )
 from keyloom.layout import KeySpec, as_key
-from keyloom.operators.joins import FOUND, NO_SUCH_KEY, lookup_join, nearest_join
+from keyloom.operators.joins import FOUND, NO_SUCH_KEY, lookup_join, nearest_join, partial_join
+from keyloom.plans.lineage import cut
 from keyloom.plans.ordering import row_numbers, with_neighbour
 
 Key = KeySpec | str | Sequence[str]
@@ -52,12 +53,18 @@ def _one(df: DataFrame, key: Key, op: str, value: Sequence, recnum: str) -> Data
 def get_equal(
     df: DataFrame, key: Key, value: Sequence | None = None, probes: DataFrame | None = None,
     probe_key: Sequence[str] | None = None, recnum: str = "recnum", keys_only: bool = False, unique: bool = False,
-    prefix: str = "",
+    prefix: str = "", partial: bool = False,
 ) -> DataFrame:
-    """Oldest record with the key; for ``probes`` one row each, ``status`` 0 or 4."""
+    """Oldest record with the key; for ``probes`` one row each, ``status`` 0 or 4.
+
+    With ``partial`` a null in a probe puts no constraint on its segment, and the first record in
+    key order is found; without, it is compared null-safe.
+    """
     df = _keys(df, key, recnum, keys_only)
     if probes is None:
         return _one(df, key, "=", value, recnum)
+    if partial:
+        return partial_join(probes, df, key, "=", (), probe_key, None, recnum, None, prefix)
     found = lookup_join(probes, df, key, "left", probe_key, recnum, unique, prefix, hit="__found")
     return found.withColumn("status", F.when(F.col("__found"), F.lit(FOUND)).otherwise(F.lit(NO_SUCH_KEY))).drop("__found")
 
@@ -66,14 +73,18 @@ def _nearest(op: str, doc: str):
     def get(
         df: DataFrame, key: Key, value: Sequence | None = None, probes: DataFrame | None = None,
         by: Sequence[str] = (), probe_key: Sequence[str] | None = None, probe_by: Sequence[str] | None = None,
-        recnum: str = "recnum", keys_only: bool = False, prefix: str = "", ranges: int | None = None, few_probes: bool = False,
+        recnum: str = "recnum", keys_only: bool = False, prefix: str = "", ranges: int | None = None, few_probes: bool = False, partial: bool = False,
     ) -> DataFrame:
         df = _keys(df, key, recnum, keys_only, by)
         if probes is None:
             return _one(df, key, op, value, recnum)
+        if partial:
+            return partial_join(probes, df, key, op, by, probe_key, probe_by, recnum, None, prefix, ranges)
         return nearest_join(probes, df, key, op, by, probe_key, probe_by, recnum, None, prefix, ranges, few_probes)
 
-    get.__doc__ = doc
+    get.__doc__ = doc + """
+
+    With ``partial`` a null in a probe puts no constraint on its segment (``joins.partial_join``)."""
     return get
 
 
@@ -184,6 +195,58 @@ def page_previous(
     return _page(df, key, cursor, max_records, terms, extract, recnum, byte_budget, record_bytes, rec, True)
 
 
+def pages(
+    df: DataFrame, key: Key, cursors: DataFrame, max_records: int, terms: Sequence[Term | tuple] = (),
+    cursor_key: Sequence[str] | None = None, cursor_recnum: str | None = None, recnum: str = "recnum", by: Sequence[str] = (),
+    cursor_by: Sequence[str] | None = None, backward: bool = False, take: Sequence[str] | None = None, prefix: str = "", place: str = "place",
+    ranges: int | None = None,
+) -> DataFrame:
+    """One page per row of ``cursors``: the ``max_records`` records behind it (``backward``: before it) that satisfy ``terms``.
+
+    A cursor is a place in (key, record number) order: its ``cursor_key`` and ``cursor_recnum``
+    columns, null-safe like every place.  With ``by`` a page stays within the cursor's group, which
+    ``cursor_by`` names.  The columns of the cursor come back with the ``take`` columns of a
+    record as ``prefix + name`` and with its ``place`` in the page, from 1 on, nearest first.
+    A cursor without a record behind it has no row.
+
+    The records that satisfy the terms are numbered once; every cursor finds the number of its first
+    record on the same order, and the numbers of its page meet the records in one join.  So there is
+    no job per cursor, and the rows that are moved are the pages.
+    """
+    if max_records < 1:
+        raise ValueError("pages of a frame of cursors need a number of records")
+    key, by = as_key(key), list(by)
+    take = list(take or df.columns)
+    clash = sorted(({prefix + c for c in take} | {place}) & set(cursors.columns))
+    if clash:
+        raise ValueError(f"cursors and records share the columns {clash}; give a prefix")
+    order = key_order(key, recnum, by)
+    kept = df.where(where_terms(terms)).select(
+        *[F.col(c).alias(f"__o{i}") for i, (c, _) in enumerate(order)], F.struct(*[F.col(c).alias(c) for c in take]).alias("__rec")
+    )
+    hidden = [(f"__o{i}", d) for i, (_, d) in enumerate(order)]
+    numbered = cut(row_numbers(kept, hidden, "__pos", ranges=ranges))
+    groups, inner = [h for h, _ in hidden[: len(by)]], hidden[len(by) :]
+    places = numbered.select(*[h for h, _ in hidden], "__pos")
+
+    own = [*(cursor_by or by), *(cursor_key or key.columns)]
+    own += [cursor_recnum or recnum] if len(order) > len(own) else []
+    asked = cursors.select(F.struct(*[F.col(c).alias(c) for c in cursors.columns]).alias("__cursor"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(own)])
+    spec = KeySpec.of(*["-" + h if d else h for h, d in inner])
+    near = nearest_join(
+        asked, places, spec, "<" if backward else ">", groups, [f"__c{i}" for i in range(len(by), len(own))], [f"__c{i}" for i in range(len(by))],
+        "__pos", ["__pos"], "__near", ranges,
+    ).where(f"status = {FOUND}")
+    step = -1 if backward else 1
+    wanted = near.select("__cursor", *[f"__c{i}" for i in range(len(by))], F.posexplode(F.expr(f"sequence(__near__pos, __near__pos + {step * (max_records - 1)}L, {step}L)")).alias("__at", "__pos"))
+    joined = wanted.join(numbered.select("__pos", *groups, "__rec"), "__pos")
+    for i, g in enumerate(groups):
+        joined = joined.where(F.col(f"__c{i}").eqNullSafe(F.col(g)))
+    return joined.select(
+        *[F.col("__cursor")[c].alias(c) for c in cursors.columns], *[F.col("__rec")[c].alias(f"{prefix}{c}") for c in take], (F.col("__at") + 1).alias(place)
+    )
+
+
 def page_cursor(page: DataFrame, key: Key, recnum: str = "recnum", backward: bool = False) -> Cursor | None:
     """Where the next page starts: the place of the page's last record."""
     key = as_key(key)

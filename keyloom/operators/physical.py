@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from keyloom.functions.codec import extract_ranges
 from keyloom.functions.predicates import Term, key_order, where_terms
 from keyloom.layout import KeySpec
-from keyloom.operators.joins import direct_join
+from keyloom.operators.joins import direct_join, nearest_join
 from keyloom.plans.lineage import cut
 from keyloom.plans.ordering import row_numbers
 
@@ -121,9 +121,24 @@ def find_percent(
     df: DataFrame, subset: DataFrame | None = None, order: KeySpec | str | Sequence[str] | None = None,
     recnum: str = "recnum", name: str = "pct", ranges: int | None = None,
 ) -> DataFrame:
-    """Place of every record as ``floor(rank * 10000 / N)``; ``subset`` keeps those of some record numbers."""
+    """Place of every record as ``floor(rank * 10000 / N)``.
+
+    ``subset`` asks for some record numbers only, in the table or not, one row per distinct number:
+    in record-number order a number's rank is the count of records up to it, 0 before the first.
+    In the order of a key a number that is not in the table has no place, and its place is 0.
+    Rows of a subset have the columns of ``df``, null but for the number where there is no record.
+    """
     ranked = _ranked(df, order, recnum, ranges)
-    if subset is not None:
-        ranked = ranked.join(subset.select(recnum).distinct(), recnum, "left_semi")
-    placed = ranked.withColumn("__n", _total(df))
-    return placed.select(*df.columns, F.expr(f"(__rank * {WHOLE}) DIV __n").alias(name))
+    place = F.expr(f"(__rank * {WHOLE}) DIV __n")
+    if subset is None:
+        return ranked.withColumn("__n", _total(df)).select(*df.columns, place.alias(name))
+    asked = subset.select(F.col(recnum).alias("__asked")).where("__asked IS NOT NULL").distinct()
+    whole = ranked.select(F.col(recnum).alias("__at"), F.struct(*[F.col(c).alias(c) for c in df.columns]).alias("__rec"), "__rank")
+    if order is None:
+        # the record at or before an asked number has its rank
+        found = nearest_join(asked, whole, ["__at"], "<=", probe_key=["__asked"], recnum="__at").withColumn("__n", _total(df))
+    else:
+        found = asked.join(whole, F.col("__asked") == F.col("__at"), "left").withColumn("__n", _total(df))
+    here = F.col("__at") == F.col("__asked")
+    columns = [F.col("__asked").alias(c) if c == recnum else F.when(here, F.col("__rec")[c]).alias(c) for c in df.columns]
+    return found.select(*columns, F.coalesce(place, F.lit(0).cast("long")).alias(name))

@@ -295,6 +295,28 @@ def with_carried(
     )
 
 
+def with_running(
+    df: DataFrame, order: Order, value: str, name: str, largest: bool = False, backward: bool = False, ranges: int | KeyRanges | None = None,
+) -> DataFrame:
+    """Smallest (or ``largest``) ``value`` among the rows up to each one in ``order``, or from it on when walking ``backward``.
+
+    Nulls in ``value`` are passed over.  What crosses a range border is one value per range.
+    """
+    cut = ranges if isinstance(ranges, KeyRanges) else sample_ranges(df, order, ranges)
+    pick, either = (F.max, F.greatest) if largest else (F.min, F.least)
+    placed = cut.assign(df)
+    w = Window.partitionBy(_BUCKET).orderBy(*sort_columns(order, backward)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.withColumn("__near", pick(value).over(w))
+    if len(cut) > 1:
+        best = placed.where(F.col(value).isNotNull()).groupBy(_BUCKET).agg(pick(value).alias("__best"))
+        steps = _all_ranges(df, cut).join(_per_range(best, cut), _BUCKET, "left")
+        side = F.col(_BUCKET).desc() if backward else F.col(_BUCKET).asc()
+        ahead = Window.orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
+        carried = steps.select(_BUCKET, pick("__best").over(ahead).alias("__edge"))
+        out = out.join(_per_range(carried, cut), _BUCKET, "left").withColumn("__near", either("__near", "__edge"))
+    return out.select(*df.columns, F.col("__near").alias(name))
+
+
 def row_numbers(
     df: DataFrame,
     order: Order,

@@ -212,9 +212,21 @@ def insert_rejects(spark, sf):
     return rejects.select("pos", "c_name", "reason")
 
 
-@S.add("insert_two_keys")
+# Verdicts depend on earlier verdicts: the SQL goes from row to row with the keys taken so far.
+@S.add(
+    "insert_two_keys",
+    """WITH RECURSIVE n AS (SELECT pos, c_name, c_acctbal, row_number() OVER (ORDER BY pos) AS i,
+        c_name IN (SELECT c_name FROM customer) OR c_acctbal IN (SELECT c_acctbal FROM customer) AS known
+      FROM (SELECT c_custkey AS pos, CASE WHEN c_nationkey < 8 THEN c_name ELSE 'New#' || (c_custkey // 3) END AS c_name, round(c_acctbal, -2) AS c_acctbal FROM customer)),
+    r AS (SELECT 0::BIGINT AS i, true AS ok, []::VARCHAR[] AS names, []::DOUBLE[] AS sums
+      UNION ALL
+      SELECT n.i, NOT n.known AND NOT list_contains(r.names, n.c_name) AND NOT list_contains(r.sums, n.c_acctbal),
+        CASE WHEN NOT n.known AND NOT list_contains(r.names, n.c_name) AND NOT list_contains(r.sums, n.c_acctbal) THEN list_append(r.names, n.c_name) ELSE r.names END,
+        CASE WHEN NOT n.known AND NOT list_contains(r.names, n.c_name) AND NOT list_contains(r.sums, n.c_acctbal) THEN list_append(r.sums, n.c_acctbal) ELSE r.sums END
+      FROM r JOIN n ON n.i = r.i + 1)
+    SELECT pos, c_name, c_acctbal, CASE WHEN known THEN 'exists' ELSE 'repeated' END AS reason FROM n JOIN r ON r.i = n.i WHERE NOT ok""",
+)
 def insert_two(spark, sf):
-    """Verdicts depend on earlier verdicts here; the tests check it against a row loop."""
     df = customers(spark, sf).select("recnum", "c_name", "c_acctbal")
     rows = _new_customers(spark, sf).withColumn("c_acctbal", F.round("c_acctbal", -2))
     return changes.insert(df, rows, [KeySpec.of("c_name", duplicates=False), KeySpec.of("c_acctbal", duplicates=False)])[1]

@@ -144,6 +144,79 @@ _asof("get_less_bulk", keyed.get_less, "<")
 _asof("get_less_or_equal_bulk", keyed.get_less_or_equal, "<=")
 
 
+# Probes with no date, no customer, or both: what they do not ask for puts no constraint on its segment.
+_PARTIAL = """SELECT c_custkey, CASE WHEN c_custkey % 5 IN (1, 4) THEN NULL ELSE c_custkey + 1 END AS want_cust,
+  CASE WHEN c_custkey % 5 IN (2, 4) THEN NULL ELSE TIMESTAMP '1993-01-01' + INTERVAL 1 DAY * (c_custkey % 1500) END AS want_date FROM customer"""
+
+
+def _partial_sql(op: str, pick: str, place: str) -> str:
+    strict = op[0]
+    return f"""WITH p AS ({_PARTIAL})
+    SELECT p.c_custkey, f.recnum, CASE WHEN f.recnum IS NULL THEN 9 ELSE 0 END AS status FROM p LEFT JOIN (
+      SELECT p.c_custkey, {pick}(o_orderkey, {place}) AS recnum FROM p JOIN orders ON
+        CASE WHEN want_cust IS NULL AND want_date IS NULL THEN true
+             WHEN want_cust IS NULL THEN o_orderdate {op} want_date
+             WHEN want_date IS NULL THEN o_custkey {op} want_cust
+             ELSE o_custkey {strict} want_cust OR (o_custkey = want_cust AND o_orderdate {op} want_date) END
+      GROUP BY p.c_custkey) f ON f.c_custkey = p.c_custkey"""
+
+
+def _partial(name, fn, op, pick):
+    @S.add(name, _partial_sql(op, pick, "row(o_custkey, o_orderdate, o_orderkey)"))
+    def run(spark, sf):
+        at = F.col("c_custkey")
+        day = F.expr("timestampadd(DAY, c_custkey % 1500, TIMESTAMP_NTZ '1993-01-01')").cast(orders(spark, sf).schema["o_orderdate"].dataType)
+        probes = table(spark, sf, "customer").select(
+            at, F.when(~(at % 5).isin(1, 4), at + 1).alias("want_cust"), F.when(~(at % 5).isin(2, 4), day).alias("want_date")
+        )
+        found = fn(orders(spark, sf), ["o_custkey", "o_orderdate"], probes=probes, probe_key=["want_cust", "want_date"], keys_only=True, partial=True)
+        return found.select("c_custkey", "recnum", "status")
+
+
+_partial("get_greater_partial_bulk", keyed.get_greater, ">", "arg_min")
+_partial("get_greater_or_equal_partial_bulk", keyed.get_greater_or_equal, ">=", "arg_min")
+_partial("get_less_partial_bulk", keyed.get_less, "<", "arg_max")
+_partial("get_less_or_equal_partial_bulk", keyed.get_less_or_equal, "<=", "arg_max")
+
+
+# A frame of cursors: every customer's place in (customer, newest order first, order) order, and each user's in its own events.
+@S.add(
+    "pages_next",
+    """WITH cur AS (SELECT c_custkey, TIMESTAMP '1995-06-01' AS from_date, c_custkey * 7 AS from_rec FROM customer),
+    kept AS (SELECT *, row_number() OVER (ORDER BY o_custkey, o_orderdate DESC, o_orderkey) AS n FROM orders WHERE o_orderstatus = 'O' OR o_totalprice < 50000),
+    first AS (SELECT c_custkey, min(n) AS n FROM cur JOIN kept ON o_custkey > c_custkey OR (o_custkey = c_custkey AND o_orderdate < from_date)
+      OR (o_custkey = c_custkey AND o_orderdate = from_date AND o_orderkey > from_rec) GROUP BY c_custkey)
+    SELECT c_custkey, o_orderkey AS recnum, o_custkey, o_totalprice, (kept.n - first.n + 1)::INT AS place
+    FROM first JOIN kept ON kept.n BETWEEN first.n AND first.n + 3""",
+)
+def pages_next(spark, sf):
+    records = orders(spark, sf)
+    day = F.lit("1995-06-01").cast(records.schema["o_orderdate"].dataType)
+    cursors = table(spark, sf, "customer").select("c_custkey", day.alias("from_date"), (F.col("c_custkey") * 7).alias("from_rec"))
+    found = keyed.pages(
+        records, ORDER_KEY, cursors, 4, [Term("o_orderstatus", "=", "O", "or"), Term("o_totalprice", "<", 50000.0)],
+        ["c_custkey", "from_date"], "from_rec", take=["recnum", "o_custkey", "o_totalprice"],
+    )
+    return found.select("c_custkey", "recnum", "o_custkey", "o_totalprice", "place")
+
+
+@S.add(
+    "pages_previous_by_user",
+    """WITH cur AS (SELECT event_id AS cursor_event, user_id AS cursor_user, ts AS cursor_ts FROM events WHERE event_type = 'purchase'),
+    ranked AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
+    SELECT cursor_event, e.event_id AS recnum, e.value, (c.n - e.n)::INT AS place FROM cur
+    JOIN ranked c ON c.event_id = cursor_event JOIN ranked e ON e.user_id = cursor_user AND e.n BETWEEN c.n - 3 AND c.n - 1""",
+)
+def pages_previous(spark, sf):
+    records = events(spark, sf)
+    cursors = records.where("event_type = 'purchase'").select(F.col("recnum").alias("cursor_event"), F.col("user_id").alias("cursor_user"), F.col("ts").alias("cursor_ts"))
+    found = keyed.pages(
+        records, EVENT_KEY, cursors, 3, cursor_key=["cursor_ts"], cursor_recnum="cursor_event", by=["user_id"], cursor_by=["cursor_user"],
+        backward=True, take=["recnum", "value"],
+    )
+    return found.select("cursor_event", "recnum", "value", "place")
+
+
 @S.add(
     "nearest_join_by_user",
     """WITH u AS (
@@ -424,6 +497,16 @@ def percent_of(spark, sf):
     return physical.find_percent(customers(spark, sf).select("recnum"))
 
 
+@S.add(
+    "find_percent_asked",
+    """WITH a AS (SELECT o_orderkey * 3 - 40 AS recnum FROM orders WHERE o_orderkey % 7 = 0)
+    SELECT recnum, (SELECT count(*) FROM orders WHERE o_orderkey <= recnum) * 10000 // (SELECT count(*) FROM orders) AS pct FROM a""",
+)
+def percent_asked(spark, sf):
+    df = orders(spark, sf).select("recnum")
+    return physical.find_percent(df, df.where("recnum % 7 = 0").select((F.col("recnum") * 3 - 40).alias("recnum")))
+
+
 @S.add(
     "find_percent_key_order",
     """SELECT c_custkey AS recnum, row_number() OVER (ORDER BY c_acctbal, c_custkey) * 10000 // count(*) OVER () AS pct FROM customer""",

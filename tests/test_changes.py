@@ -41,6 +41,37 @@ def test_insert_with_two_unique_keys_matches_loop(spark):
     assert rejects.count() == 150 - len(accepted)
 
 
+def test_dependent_inserts_take_few_passes(spark, monkeypatch):
+    # every row has a key of the one before it, now one and now the other
+    new = [(p, p // 2, f"s{(p + 1) // 2}") for p in range(1000)]
+    rows_ = spark.createDataFrame(new, "pos long, a int, b string").repartition(4)
+    state = spark.createDataFrame([], "recnum long, a int, b string")
+    cuts = []
+    monkeypatch.setattr(changes, "cut", lambda df, keep=changes.cut: cuts.append(1) or keep(df))
+    out, rejects = changes.insert(state, rows_, [A, B])
+    assert len(cuts) <= 15
+    assert [r.a for r in out.orderBy("recnum").collect()] == list(range(500)) and rejects.count() == 500
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_conflicts_over_three_keys_match_loop(spark, seed):
+    rng = random.Random(seed)
+    keys = [KeySpec.of(c, duplicates=False) for c in "abc"]
+    # a key value that a third of all rows share, nulls among the others
+    new = [(p, 0 if rng.random() < 0.3 else rng.randrange(60), rng.choice([None, *range(50)]), rng.randrange(40)) for p in rng.sample(range(1000), 120)]
+    _, rejects = changes.insert(
+        spark.createDataFrame([], "recnum long, a int, b int, c int"), spark.createDataFrame(new, "pos long, a int, b int, c int"), keys
+    )
+    taken, refused = [set(), set(), set()], set()
+    for p, *values in sorted(new):
+        if any(v in t for v, t in zip(values, taken)):
+            refused.add(p)
+        else:
+            for v, t in zip(values, taken):
+                t.add(v)
+    assert {r.pos for r in rejects.collect()} == refused and {r.reason for r in rejects.collect()} == {"repeated"}
+
+
 def test_insert_batches_match_loop(spark):
     rng = random.Random(4)
     state = [(i, i, f"s{i}") for i in range(10)]

@@ -215,3 +215,98 @@ def test_lookup_with_equal_names(spark):
     assert plain.columns == ["k", "recnum", "v", "status"] and rows(plain, "k", "recnum", "status") == [(5, 1, 0), (6, 3, 0), (7, None, 4)]
     with pytest.raises(ValueError):
         joins.nearest_join(probes, df, ["k"], ">=", probe_key=["k"])
+
+
+# -- probes that ask for some segments, and frames of cursors ----------------------------
+
+
+def _table(spark, rng, n=120):
+    pick = lambda hi: rng.choice([None, *range(hi)])
+    data = [(i, rng.randrange(3), pick(6), pick(5), pick(4)) for i in range(n)]
+    return spark.createDataFrame(data, "recnum long, grp int, a int, b int, c int").cache()
+
+
+@pytest.mark.parametrize("op,fn", [("=", keyed.get_equal), (">", keyed.get_greater), (">=", keyed.get_greater_or_equal), ("<", keyed.get_less), ("<=", keyed.get_less_or_equal)])
+@pytest.mark.parametrize("ranges", [None, 7])
+def test_partial_probes_match_single_lookups(spark, op, fn, ranges):
+    rng = random.Random(21)
+    df = _table(spark, rng)
+    key = KeySpec.of("a", "-b", "c")
+    asked = [(i, rng.choice([None, 0, 3, 5]), rng.choice([None, 1, 4]), rng.choice([None, 0, 2])) for i in range(24)] + [(90, 9, None, None), (91, None, None, None)]
+    probes = spark.createDataFrame(asked, "id long, x int, y int, z int")
+    extra = {} if op == "=" else {"ranges": ranges}
+    found = fn(df, key, probes=probes, probe_key=["x", "y", "z"], partial=True, **extra)
+    got = {r.id: (r.recnum, r.status) for r in found.collect()}
+    assert len(got) == len(asked)
+    for i, *values in asked:
+        want = fn(df, key, values).collect()
+        assert got[i] == ((want[0].recnum, 0) if want else (None, 4 if op == "=" else 9)), (op, values)
+
+
+@pytest.mark.parametrize("op,fn", [(">", keyed.get_greater), ("<=", keyed.get_less_or_equal)])
+def test_partial_probes_stay_in_their_group(spark, op, fn):
+    rng = random.Random(22)
+    df = _table(spark, rng)
+    asked = [(i, i % 4, rng.choice([None, 2, 5]), rng.choice([None, 1])) for i in range(16)]
+    probes = spark.createDataFrame(asked, "id long, g int, x int, y int")
+    found = fn(df, ["a", "b"], probes=probes, probe_key=["x", "y"], by=["grp"], probe_by=["g"], ranges=5, partial=True)
+    got = {r.id: r.recnum for r in found.collect()}
+    for i, g, *values in asked:
+        want = fn(df.where(F.col("grp") == g), ["a", "b"], values).collect()
+        assert got[i] == (want[0].recnum if want else None), (op, g, values)
+
+
+def test_partial_probes_of_empty_tables(spark):
+    df = _table(spark, random.Random(1), 5)
+    probes = spark.createDataFrame([(1, None), (2, 3)], "id long, x int")
+    none = keyed.get_greater(df.limit(0), ["a"], probes=probes, probe_key=["x"], partial=True)
+    assert rows(none, "id", "recnum", "status") == [(1, None, 9), (2, None, 9)]
+    assert keyed.get_greater(df, ["a"], probes=probes.limit(0), probe_key=["x"], partial=True).count() == 0
+    with pytest.raises(ValueError):
+        joins.partial_join(probes.withColumn("a", F.lit(1)), df, ["a"], ">", probe_key=["x"])
+
+
+@pytest.mark.parametrize("backward", [False, True])
+@pytest.mark.parametrize("ranges", [None, 6])
+def test_pages_of_many_cursors_match_single_pages(spark, backward, ranges):
+    rng = random.Random(23)
+    df, key = _table(spark, rng), KeySpec.of("a", "-b")
+    terms = [Term("c", ">=", 1)]
+    places = [(i, rng.choice([None, 0, 2, 5, 9]), rng.choice([None, 1, 3]), rng.randrange(-5, 125)) for i in range(20)]
+    cursors = spark.createDataFrame(places, "id long, x int, y int, at long")
+    found = keyed.pages(df, key, cursors, 5, terms, ["x", "y"], "at", backward=backward, ranges=ranges)
+    got = {}
+    for r in found.orderBy("id", "place").collect():
+        assert r.place == len(got.setdefault(r.id, [])) + 1
+        got[r.id].append(r.recnum)
+    single = keyed.page_previous if backward else keyed.page_next
+    for i, x, y, at in places:
+        want = [r.recnum for r in single(df, key, Cursor((x, y), at), 5, terms).collect()]
+        assert got.get(i, []) == want, (x, y, at)
+
+
+def test_pages_by_group(spark):
+    rng = random.Random(24)
+    df = _table(spark, rng)
+    places = [(i, i % 4, rng.choice([None, 0, 3]), rng.randrange(120)) for i in range(12)]
+    cursors = spark.createDataFrame(places, "id long, g int, x int, at long")
+    found = keyed.pages(df, ["a"], cursors, 4, (), ["x"], "at", by=["grp"], cursor_by=["g"], take=["recnum"], prefix="hit_", ranges=5)
+    assert found.columns == ["id", "g", "x", "at", "hit_recnum", "place"]
+    got = {}
+    for r in found.orderBy("id", "place").collect():
+        got.setdefault(r.id, []).append(r.hit_recnum)
+    for i, g, x, at in places:
+        want = [r.recnum for r in keyed.page_next(df.where(F.col("grp") == g), ["a"], Cursor((x,), at), 4).collect()]
+        assert got.get(i, []) == want
+    with pytest.raises(ValueError):
+        keyed.pages(df, ["a"], cursors, 0, cursor_key=["x"], cursor_recnum="at")
+
+
+def test_places_of_numbers_that_are_not_there(spark):
+    df = spark.createDataFrame([(n, f"r{n}") for n in (10, 20, 30, 40)], "recnum long, name string")
+    asked = spark.createDataFrame([(n,) for n in (5, 10, 25, 25, 40, 99, None)], "recnum long")
+    got = rows(physical.find_percent(df, asked), "recnum", "name", "pct")
+    assert sorted(got) == sorted([(5, None, 0), (10, "r10", 2500), (25, None, 5000), (40, "r40", 10000), (99, None, 10000)], key=lambda t: t[0])
+    by_name = rows(physical.find_percent(df, asked, order=["-name"]), "recnum", "name", "pct")
+    assert sorted(by_name) == [(5, None, 0), (10, "r10", 10000), (25, None, 0), (40, "r40", 2500), (99, None, 0)]
+    assert physical.find_percent(df.limit(0), asked).where("pct <> 0").count() == 0
