@@ -22,6 +22,10 @@ _BLANKS = " \t\n\x0b\x0c\r\x85\xa0"
 _MONEY_UNITS = 10000  # units per currency unit of MONEY
 
 
+#: A character that one byte of a record cannot hold.
+_BEYOND = r"[^\x{0}-\x{FF}]"
+
+
 # -- byte access -----------------------------------------------------------------------
 
 
@@ -44,7 +48,10 @@ def _windows(rec: pa.Array, offset: int, length: int) -> tuple[np.ndarray, np.nd
     n = len(rec)
     if n == 0:
         return np.zeros((0, length), np.uint8), np.zeros(0, bool)
-    starts = np.frombuffer(rec.buffers()[1], np.int32)[rec.offset : rec.offset + n + 1].astype(np.int64)
+    wide = pa.types.is_large_binary(rec.type) or pa.types.is_large_string(rec.type)
+    if not wide and not pa.types.is_binary(rec.type) and not pa.types.is_string(rec.type):
+        rec = rec.cast(pa.binary())
+    starts = np.frombuffer(rec.buffers()[1], np.int64 if wide else np.int32)[rec.offset : rec.offset + n + 1].astype(np.int64)
     size = np.diff(starts)
     data = rec.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -193,7 +200,8 @@ def _encode_input(f: Field) -> Column:
     if t in L.INTEGER_TYPES or t == L.DECIMAL:
         return F.coalesce(c.cast("long"), F.lit(0).cast("long"))
     if t == L.MONEY:
-        units = (c.cast("decimal(30,10)") * F.lit(_MONEY_UNITS)).cast("long")
+        # what 64 bits of units cannot hold is written as nothing
+        units = F.expr(f"try_multiply(try_cast(`{f.name}` AS DECIMAL(30,10)), {_MONEY_UNITS})").try_cast("long")
         return F.coalesce(units, F.lit(0).cast("long"))
     if t == L.FLOAT:
         return F.coalesce(c.cast("double"), F.lit(0.0))
@@ -216,7 +224,22 @@ def _encode_input(f: Field) -> Column:
         return F.concat(prefix, F.rpad(data, n - 1, _zeros(1, 0x20)))
     if t in (L.ZSTRING, L.ZSTRING_12):
         return F.rpad(F.substring(data, 1, n - 1), n, _zeros(1))
-    return F.rpad(data, n, _zeros(1, 0x20))
+    return F.rpad(F.encode(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), _BEYOND, "?"), "ISO-8859-1"), n, _zeros(1, 0x20))
+
+
+def unfit_fields(layout: Layout) -> Column:
+    """Names of the text fields whose value a record cannot hold whole: a character beyond one byte, or too long."""
+    def told(f: Field) -> Column:
+        c, t = F.col(f.name).cast("string"), f.native_type
+        if t in (L.LSTRING, L.ZSTRING, L.ZSTRING_12):
+            bad = F.octet_length(c) > f.length - 1
+        else:
+            bad = c.rlike(_BEYOND) | (F.length(c) > f.length)
+        return F.when(bad, F.lit(f.name))
+
+    known = {*L.INTEGER_TYPES, L.DECIMAL, L.MONEY, L.FLOAT, L.DATE, L.TIME, L.LOGICAL}
+    names = [told(f) for f in layout.fields if f.native_type not in known and f.end <= layout.record_length]
+    return F.filter(F.array(*names), lambda n: n.isNotNull()) if names else F.array().cast("array<string>")
 
 
 def _write_block(values: pa.Array, native_type: int, length: int) -> np.ndarray:
@@ -276,8 +299,15 @@ def fixed_binary(block: np.ndarray) -> pa.Array:
     )
 
 
-def encode_records(df: DataFrame, layout: Layout, rec: str = "rec", keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*keep, encode_record(layout).alias(rec))
+def encode_records(df: DataFrame, layout: Layout, rec: str = "rec", keep: Sequence[str] = (), unfit: str | None = None) -> DataFrame:
+    """The binary of every row after its ``keep`` columns.
+
+    Plain text is written a byte a character, as it is read; a character beyond that becomes a
+    question mark, and text that is too long is cut.  ``unfit`` names a column that lists the
+    fields this happened to.
+    """
+    told = [unfit_fields(layout).alias(unfit)] if unfit else []
+    return df.select(*keep, encode_record(layout).alias(rec), *told)
 
 
 # -- byte ranges and keys --------------------------------------------------------------

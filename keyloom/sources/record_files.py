@@ -43,20 +43,36 @@ RECORD_DDL = "file string, page_no int, slot_no int, rec binary"
 def collect_files(spark: SparkSession, paths: str | Sequence[str], ext: str = "b", recursive: bool = True) -> DataFrame:
     """Files with the extension (any case) as ``(file, size)``; contents are not read.
 
-    Spark's listing leaves out files of zero bytes.
+    A scan passes over files of zero bytes; they come from the listing that it starts from.
     """
     pattern = "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext.lstrip("."))
     listed = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", str(recursive).lower()).load(paths)
     )
-    return listed.select(F.col("path").alias("file"), F.col("length").alias("size"))
+    sized = listed.select(F.col("path").alias("file"), F.col("length").alias("size"))
+    named = spark.createDataFrame([(f,) for f in sorted(listed.inputFiles())], "named string").select(_plain_path("named").alias("named"))
+    empty = named.join(sized.select(_plain_path("file").alias("plain")), F.col("named") == F.col("plain"), "left_anti")
+    return sized.union(empty.select(F.col("named").alias("file"), F.lit(0).cast("long").alias("size")))
+
+
+def _plain_path(path: str) -> Column:
+    """One form of a path that Spark writes with one or three slashes behind ``file:``, and with blanks escaped or not."""
+    return F.regexp_replace(F.try_url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
+#: Schemes of the cluster's file systems, and how a Python task names the same store.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def _open(path: str):
     if path.startswith("file:"):
         return pafs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
+    if path.startswith("dbfs:"):
+        return pafs.LocalFileSystem().open_input_file("/dbfs/" + path[5:].lstrip("/"))
     if "://" in path:
+        scheme, rest = path.split("://", 1)
+        path = f"{_SCHEMES.get(scheme, scheme)}://{rest}"
         system, name = pafs.FileSystem.from_uri(path)
         return system.open_input_file(name)
     return pafs.LocalFileSystem().open_input_file(path)

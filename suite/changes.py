@@ -68,16 +68,19 @@ def encode(spark, sf):
     return encoded_customers(spark, sf).select("recnum", F.hex("rec").alias("hex"))
 
 
+# the bits of a positive double: its exponent and what it is more than that power of two
+_PRICE_POWER = "CASE WHEN pow(2, floor(log2(p_retailprice))) > p_retailprice THEN floor(log2(p_retailprice)) - 1 WHEN pow(2, floor(log2(p_retailprice)) + 1) <= p_retailprice THEN floor(log2(p_retailprice)) + 1 ELSE floor(log2(p_retailprice)) END"
+_PRICE_BITS = f"((({_PRICE_POWER})::BIGINT + 1023) * 4503599627370496 + ((p_retailprice / pow(2, {_PRICE_POWER}) - 1) * 4503599627370496)::BIGINT)"
 _PART_HEAD = " || ".join([
     le_hex("p_partkey", 8), text_hex("p_name", 14),
-    "rpad(hex(p_brand), 20, '0')", "lpad(to_hex(length(p_type)), 2, '0')", text_hex("p_type", 11), le_hex("p_size", 4),
+    "rpad(hex(p_brand), 20, '0')", "lpad(to_hex(length(p_type)), 2, '0')", text_hex("p_type", 11), le_hex("p_size", 4), le_hex(_PRICE_BITS, 8),
 ])
 
 
 @S.add("encode_records_text_kinds", f"SELECT p_partkey, {_PART_HEAD} AS hex FROM part")
 def encode_part(spark, sf):
     df = encode_records(table(spark, sf, "part"), PART, keep=["p_partkey"])
-    return df.select("p_partkey", F.hex(F.expr("substring(rec, 1, 48)")).alias("hex"))
+    return df.select("p_partkey", F.hex("rec").alias("hex"))
 
 
 @S.add(
@@ -217,7 +220,7 @@ def insert_rejects(spark, sf):
     "insert_two_keys",
     """WITH RECURSIVE n AS (SELECT pos, c_name, c_acctbal, row_number() OVER (ORDER BY pos) AS i,
         c_name IN (SELECT c_name FROM customer) OR c_acctbal IN (SELECT c_acctbal FROM customer) AS known
-      FROM (SELECT c_custkey AS pos, CASE WHEN c_nationkey < 8 THEN c_name ELSE 'New#' || (c_custkey // 3) END AS c_name, round(c_acctbal, -2) AS c_acctbal FROM customer)),
+      FROM (SELECT c_custkey AS pos, CASE WHEN c_nationkey < 8 THEN c_name ELSE 'New#' || (c_custkey // 3) END AS c_name, round(c_acctbal, -2) + 0.0 AS c_acctbal FROM customer)),
     r AS (SELECT 0::BIGINT AS i, true AS ok, []::VARCHAR[] AS names, []::DOUBLE[] AS sums
       UNION ALL
       SELECT n.i, NOT n.known AND NOT list_contains(r.names, n.c_name) AND NOT list_contains(r.sums, n.c_acctbal),
@@ -228,7 +231,7 @@ def insert_rejects(spark, sf):
 )
 def insert_two(spark, sf):
     df = customers(spark, sf).select("recnum", "c_name", "c_acctbal")
-    rows = _new_customers(spark, sf).withColumn("c_acctbal", F.round("c_acctbal", -2))
+    rows = _new_customers(spark, sf).withColumn("c_acctbal", F.round("c_acctbal", -2) + F.lit(0.0))
     return changes.insert(df, rows, [KeySpec.of("c_name", duplicates=False), KeySpec.of("c_acctbal", duplicates=False)])[1]
 
 

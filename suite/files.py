@@ -255,10 +255,10 @@ def as_text(spark, sf):
     return T.rows_as_text(df.select("c_custkey", "c_name", F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment"))))
 
 
-@S.add("export_csv", "SELECT doc_id, lang, replace(text, chr(13), '') AS text FROM documents")
+@S.add("export_csv", "SELECT doc_id, lang, text FROM documents")
 def exported(spark, sf):
     path = scratch_path(spark, "csv")
-    docs = table(spark, sf, "documents").select("doc_id", "lang", F.regexp_replace("text", "\r", "").alias("text"))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     T.export_csv(docs, path)
     back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').schema(docs.schema)
     return back.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)

@@ -147,3 +147,35 @@ def test_decode_keys_wildcards(spark):
     assert (wild[2].region, wild[2].n, wild[2].wild_n, wild[2].wild_dept) == ("A", None, True, False)
     exact = {r.id: r for r in decode_keys(df, "key", lay, key).collect()}
     assert (exact[1].dept, exact[3].region, exact[3].n, exact[3].d) == ("", "", 0, None)
+
+
+def test_text_is_written_as_it_is_read(spark):
+    layout = Layout.build("T", [("s", L.STRING, 6), ("z", L.ZSTRING, 6), ("x", 99, 4)], record_length=16)
+    data = [(1, "Ärger", "né", "ÿ"), (2, "日本x", "too long here", "abcdef"), (3, None, None, None), (4, "🙂é", "", "")]
+    df = spark.createDataFrame(data, "id int, s string, z string, x string")
+    encoded = encode_records(df, layout, keep=["id"], unfit="unfit")
+    got = {r.id: (bytes(r.rec), r.unfit) for r in encoded.collect()}
+    assert got[1] == ("Ärger ".encode("latin-1") + "né".encode() + bytes(3) + "ÿ   ".encode("latin-1"), [])
+    assert got[2][0][:6] == b"??x   " and got[2][1] == ["s", "z", "x"] and got[4][0][:6] == "?é    ".encode("latin-1") and got[4][1] == ["s"]
+    back = {r.id: (r.s, r.z) for r in decode_records(encoded, layout, keep=["id"]).collect()}
+    assert back[1] == ("Ärger", "né") and back[3] == ("", "")
+
+
+def test_money_beyond_its_bytes_and_large_arrow_types(spark):
+    import pyarrow as pa
+
+    from keyloom.functions import codec
+
+    layout = Layout.build("M", [("m", L.MONEY, 8), ("s", L.STRING, 4)])
+    df = spark.createDataFrame([(1e30, "ab"), (12.5, "cd"), (None, "ef")], "m double, s string")
+    assert [bytes(r.rec) for r in encode_records(df, layout).collect()] == [bytes(8) + b"ab  ", (125000).to_bytes(8, "little") + b"cd  ", bytes(8) + b"ef  "]
+    for kind in (pa.binary(), pa.large_binary(), pa.binary_view()):
+        block, whole = codec._windows(pa.array([b"0123", b"45", b"6789"], kind), 1, 3)
+        assert [bytes(b) for b in block] == [b"123", bytes(3), b"789"] and whole.tolist() == [True, False, True]
+    before = spark.conf.get("spark.sql.execution.arrow.useLargeVarTypes")
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        back = decode_records(encode_records(df, layout), layout)
+        assert [(float(r.m), r.s) for r in back.collect()] == [(0.0, "ab"), (12.5, "cd"), (0.0, "ef")]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", before)

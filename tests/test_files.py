@@ -288,3 +288,23 @@ def test_resolve_tables(spark):
         "G:\\west\\cust.B": ("CUST", "dbo"), "G:\\west\\cust.b.B": ("CUST", "dbo"), "G:/west/a.b.x": ("A_B", "dbo"),
         "G:\\east\\cust.B": (None, None), "cust.B": ("CUST", "dbo"),
     }
+
+
+def test_files_of_zero_bytes_are_listed(spark, tmp_path):
+    (tmp_path / "sub dir").mkdir()
+    for name, content in (("A.B", b"x" * 100), ("E.b", b""), ("sub dir/F+1.b", b""), ("sub dir/G 1.b", b"y"), ("other.txt", b"")):
+        (tmp_path / name).write_bytes(content)
+    got = {os.path.basename(r.file): r.size for r in R.collect_files(spark, str(tmp_path)).collect()}
+    assert got == {"A.B": 100, "E.b": 0, "F+1.b": 0, "G 1.b": 1}
+    info = {os.path.basename(r.file): r for r in R.record_file_info(spark, str(tmp_path)).collect()}
+    assert len(info) == 4 and info["E.b"].size == 0 and all(r.problem for r in info.values())
+    assert R.read_record_files(spark, str(tmp_path)).count() == 0
+
+
+def test_csv_keeps_carriage_returns(spark, tmp_path):
+    data = [(1, "a\rb"), (2, "a\r\nb"), (3, "x,\ry"), (4, 'q"\r'), (5, "\r"), (6, None), (7, " plain ")]
+    df = spark.createDataFrame(data, "id int, t string")
+    T.export_csv(df, str(tmp_path / "csv"))
+    reader = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').schema(df.schema)
+    back = reader.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(str(tmp_path / "csv"))
+    assert sorted((r.id, r.t) for r in back.collect()) == data
