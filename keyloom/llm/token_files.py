@@ -2,7 +2,7 @@
 
 Re-Pair replaces frequent pairs of neighbouring symbols by new ones and writes down the rules.
 Here a round counts all pairs of a shard and replaces the most frequent one together with all
-that are at least 0.07 times as frequent, leftmost first where they overlap; rounds go on until no
+that are at least a fiftieth as frequent, leftmost first where they overlap; rounds go on until no
 pair occurs often enough to pay for its rule, or the symbols' two bytes are used up.  Rules keep
 the length they expand to, and a table of places lets a single document be decoded without the
 rest of its shard.  No rule reaches over the end of a document.
@@ -38,7 +38,7 @@ from keyloom.plans.lineage import scratch_path
 END_ID = 1
 SHARD_IDS = 1_000_000
 #: A round replaces the pairs at least so frequent as its most frequent one.
-ROUND_SHARE = 0.07
+ROUND_SHARE = 0.02
 #: Bytes of a rule; a pair is replaced if the symbols it saves take more.
 RULE_BYTES = 12
 SKIP = 1024
