@@ -6,8 +6,11 @@ caller writes it as a new version.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from keyloom.layout import KeySpec, as_key
@@ -260,6 +263,54 @@ def truncate_report(requests: DataFrame, record_length: int) -> DataFrame:
     return requests.select("request", "recnum", F.when(short, F.lit(TOO_SHORT)).otherwise(F.lit(OK)).alias("status"))
 
 
+#: What patches of a record are ordered by, the later one on top.
+_PLACE = ["request", "chunk", "offset", "data"]
+#: Patch bytes that a map task lays over each other at once.
+_PATCH_BLOCK = 1 << 22
+
+
+def _seen_runs(patches: DataFrame, recnum: str) -> DataFrame:
+    """The runs of bytes of each patch that no later patch of its block covers, as patches."""
+    rows = patches.select(F.col(recnum), "request", "chunk", F.col("offset").cast("long").alias("offset"), "data")
+
+    def seen(table: pa.Table) -> pa.RecordBatch:
+        table = table.take(pc.sort_indices(table, sort_keys=[(n, "ascending") for n in _PLACE], null_placement="at_start"))
+        record = table.column(recnum).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        data = table.column("data").cast(pa.large_binary()).combine_chunks()
+        ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+        sizes, start = np.diff(ends), table.column("offset").to_numpy()
+        value = np.frombuffer(data.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        at = start[owner] + np.arange(len(owner)) - (ends[:-1] - ends[0])[owner]
+        # the bytes of a record side by side, those of one place in the order of their patches
+        order = np.lexsort((at, record[owner]))
+        owner, at, value = owner[order], at[order], value[order]
+        last = np.append((np.diff(record[owner]) != 0) | (np.diff(at) != 0), True)
+        owner, at, value = owner[last], at[last], value[last]
+        opens = np.flatnonzero(np.concatenate(([True], (np.diff(owner) != 0) | (np.diff(at) != 1))))
+        closes = np.append(opens[1:], len(owner))
+        raw = value.tobytes()
+        held = table.take(pa.array(owner[opens]))
+        runs = pa.array([raw[i:j] for i, j in zip(opens.tolist(), closes.tolist())], type=table.schema.field("data").type)
+        columns = [pa.array(at[opens]) if n == "offset" else runs if n == "data" else held.column(n).combine_chunks() for n in table.schema.names]
+        return pa.RecordBatch.from_arrays(columns, names=table.schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if batch.num_rows:
+                block.append(batch)
+                size += pc.sum(pc.binary_length(batch.column("data"))).as_py()
+            if size >= _PATCH_BLOCK:
+                yield seen(pa.Table.from_batches(block))
+                block, size = [], 0
+        if block:
+            yield seen(pa.Table.from_batches(block))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def update_chunks(
     state: DataFrame, patches: DataFrame, record_length: int, recnum: str = "recnum", rec: str = "rec"
 ) -> tuple[DataFrame, DataFrame]:
@@ -268,8 +319,10 @@ def update_chunks(
     Requests apply in order, their chunks in order.  A request with a chunk past the
     record's end changes nothing and reports 103; one without a record reports 8.
 
-    Patches are reduced to the last value of every byte before records are touched, so a
-    record patched any number of times brings at most ``record_length`` bytes together.
+    Map tasks lay the patches of a block over each other and send on what is seen of each, as
+    runs of bytes with their place.  The shuffle moves at most two runs a patch, and a record that
+    is patched any number of times brings at most ``record_length`` runs a block together.  Patches
+    of equal request and chunk go in the order of offset and data.
     """
     reach = patches.groupBy("request", recnum).agg(
         F.max(F.col("offset") + F.octet_length("data")).alias("__reach"), F.min("offset").alias("__low")
@@ -281,15 +334,12 @@ def update_chunks(
         .when(~F.col("__found"), F.lit(INVALID_POSITION)).otherwise(F.lit(OK)).alias("status"),
     )
     good = patches.join(report.where(F.col("status") == OK).select("request", recnum), ["request", recnum], "left_semi")
-    place = F.struct("request", "chunk")
-    bytes_ = good.where(F.octet_length("data") > 0).select(
-        recnum, place.alias("place"), "offset", "data", F.explode(F.expr("sequence(0, octet_length(data) - 1)")).alias("i")
-    ).select(recnum, "place", (F.col("offset") + F.col("i")).alias("at"), F.expr("substring(data, i + 1, 1)").alias("b"))
-    last = bytes_.groupBy(recnum, "at").agg(F.max_by("b", "place").alias("b"))
-    whole = last.groupBy(F.col(recnum).alias("__at")).agg(F.collect_list(F.struct("at", "b")).alias("__bytes"))
+    runs = _seen_runs(good.where(F.octet_length("data") > 0), recnum)
+    whole = runs.groupBy(F.col(recnum).alias("__at")).agg(F.collect_list(F.struct(*_PLACE)).alias("__runs"))
     joined = state.join(whole, state[recnum] == F.col("__at"), "left")
     patched = F.aggregate(
-        "__bytes", F.col(rec), lambda acc, p: F.overlay(acc, p["b"], (p["at"] + 1).cast("int"), F.lit(1))
+        F.array_sort("__runs"), F.col(rec),
+        lambda acc, p: F.overlay(acc, p["data"], (p["offset"] + 1).cast("int"), F.octet_length(p["data"])),
     )
     new = F.when(F.col("__at").isNull(), F.col(rec)).otherwise(patched).alias(rec)
     return joined.select(*[new if c == rec else F.col(c) for c in state.columns]), report

@@ -11,7 +11,7 @@ from keyloom.functions.predicates import Term, key_order, where_terms
 from keyloom.layout import KeySpec
 from keyloom.operators.joins import direct_join, nearest_join
 from keyloom.plans.lineage import cut
-from keyloom.plans.ordering import row_numbers
+from keyloom.plans.ordering import row_numbers, rows_at
 
 # Rows that one filtered step of the record manager returns by default and at most; a caller may ask for them.
 STEP_DEFAULT = 256
@@ -106,14 +106,23 @@ def get_by_percent(
     df: DataFrame, percents: DataFrame, percent: str = "pct", order: KeySpec | str | Sequence[str] | None = None,
     recnum: str = "recnum", ranges: int | None = None,
 ) -> DataFrame:
-    """Record at 0-based rank ``clamp(floor(pct * N / 10000), 0, N - 1)`` for every percentage."""
-    place = F.greatest(F.lit(0), F.least(F.lit(WHOLE), F.col(percent).cast("long")))
+    """Record at 0-based rank ``clamp(floor(pct * N / 10000), 0, N - 1)`` for every percentage; none for a null one.
+
+    Record numbers are unique.  Only the columns of the order are ranked, in the ranges that hold a
+    wanted rank; the records found are then picked out of the table by their numbers.
+    """
+    # least and greatest pass over nulls
+    place = F.when(F.col(percent).isNotNull(), F.greatest(F.lit(0), F.least(F.lit(WHOLE), F.col(percent).cast("long"))))
     asked = percents.withColumn("__place", place)
     # percentages are clamped to 0..10000, so the wanted ranks and their records are at most 10001 rows
     places = asked.select("__place").where("__place IS NOT NULL").distinct().withColumn("__n", _total(df))
     rank = F.expr(f"LEAST((__place * __n) DIV {WHOLE}, __n - 1) + 1")
     wanted = places.where("__n > 0").select("__place", rank.alias("__rank"))
-    hits = _ranked(df, order, recnum, ranges).join(F.broadcast(wanted), "__rank")
+    by = key_order(order if order is not None else [recnum], recnum)
+    keys = df.select(*dict.fromkeys([*[c for c, _ in by], recnum]))
+    hits = rows_at(keys, by, wanted, "__rank", ranges).join(F.broadcast(wanted), "__rank")
+    if set(df.columns) != set(keys.columns):
+        hits = df.join(F.broadcast(hits.select(F.col(recnum).alias("__at"), "__place")), F.col(recnum) == F.col("__at"))
     return asked.join(F.broadcast(hits), "__place").select(*percents.columns, *df.columns)
 
 

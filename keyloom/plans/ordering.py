@@ -367,6 +367,29 @@ def row_numbers(
     )
 
 
+def rows_at(df: DataFrame, order: Order, wanted: DataFrame, name: str, ranges: int | KeyRanges | None = None) -> DataFrame:
+    """The rows whose number in ``order``, from 1, is one of the few in ``wanted``'s column ``name``.
+
+    Ranges are counted, and only those that hold a wanted number are shuffled and sorted.
+    """
+    cut = ranges if isinstance(ranges, KeyRanges) else sample_ranges(df, order, ranges)
+    placed = cut.assign(df)
+    numbers = wanted.select(name).distinct()
+    counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__count"))
+    ahead = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(F.coalesce(F.sum("__count").over(ahead), F.lit(0)).alias("__base"), _BUCKET)
+    # a row per range and per wanted number: the range that begins at or before a number holds it
+    marks = bases.select("__base", F.struct(_BUCKET, "__base").alias("__of")).unionByName(
+        numbers.select((F.col(name) - 1).alias("__base"), F.lit(None).alias("__of"))
+    )
+    near = Window.orderBy("__base", F.col("__of").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = marks.select(F.col("__of").isNull().alias("__asked"), F.last("__of", ignorenulls=True).over(near).alias("__of"))
+    held = found.where("__asked AND __of IS NOT NULL").select("__of.*").distinct()
+    local = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*sort_columns(order)))
+    numbered = placed.join(F.broadcast(held), _BUCKET).withColumn(name, local + F.col("__base"))
+    return numbered.join(F.broadcast(numbers), name, "left_semi").select(*df.columns, name)
+
+
 def _border_groups(df: DataFrame, cut: KeyRanges, by: Sequence[str]) -> DataFrame:
     """The group named by each range's upper border; the rows come from the literal borders."""
     rows = [(i, *border[: len(by)]) for i, border in enumerate(cut.borders)]

@@ -227,3 +227,22 @@ def test_update_with_repeated_numbers(spark):
     assert rows(done) == [(1, "y"), (2, "z")] and rows(left) == [(1, "x", 1), (9, "n", 1)]
     done, left = changes.update(state, asked)
     assert rows(done) == [(1, "a"), (2, "z")] and rows(left) == [(1, "x", 1), (1, "y", 2), (9, "n", 1)]
+
+
+@pytest.mark.parametrize("block", [1, 64, 1 << 22])
+def test_patches_of_one_record_in_blocks(spark, monkeypatch, block):
+    """Most patches are one record's; equal places go in the order of offset and data."""
+    monkeypatch.setattr(changes, "_PATCH_BLOCK", block)
+    rng = random.Random(block)
+    recs = {i: bytearray(rng.randbytes(30)) for i in range(4)}
+    patches = [
+        (r, 1 if r % 4 else rng.randrange(4), None if r % 7 == 0 else c, rng.randrange(0, 24), bytearray(rng.randbytes(rng.randrange(1, 6))))
+        for r in range(300) for c in (0, 1, 1)
+    ]
+    schema = "request long, recnum long, chunk int, offset int, data binary"
+    state = spark.createDataFrame([(i, r, "x") for i, r in recs.items()], "recnum long, rec binary, data string")
+    out, _ = changes.update_chunks(state, spark.createDataFrame(patches, schema).repartition(5), 30)
+    for _, recnum, _, offset, data in sorted(patches, key=lambda p: (p[0], -1 if p[2] is None else p[2], p[3], bytes(p[4]))):
+        recs[recnum][offset : offset + len(data)] = data
+    assert {r.recnum: bytes(r.rec) for r in out.collect()} == {i: bytes(r) for i, r in recs.items()}
+    assert changes.update_chunks(state, spark.createDataFrame([], schema), 30)[0].count() == 4

@@ -310,3 +310,20 @@ def test_places_of_numbers_that_are_not_there(spark):
     by_name = rows(physical.find_percent(df, asked, order=["-name"]), "recnum", "name", "pct")
     assert sorted(by_name) == [(5, None, 0), (10, "r10", 10000), (25, None, 0), (40, "r40", 2500), (99, None, 0)]
     assert physical.find_percent(df.limit(0), asked).where("pct <> 0").count() == 0
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_percent_over_ranges(spark, ranges):
+    """Ties, nulls and fewer percentages than ranges, against a sorted list."""
+    rng = random.Random(ranges)
+    data = [(i, rng.choice([None, 1, 1, 2, 5]), f"r{i}") for i in range(157)]
+    df = spark.createDataFrame(data, "recnum long, v int, name string")
+    line = [(None if v is None else v, i) for i, v, _ in sorted(data, key=lambda d: (d[1] is not None, -(d[1] or 0), d[0]))]
+    asked = [-5, 0, 1, 63, 64, 5000, 9999, 10000, 20000, None]
+    percents = spark.createDataFrame([(p,) for p in asked], "pct int")
+    for order, ordered in ((None, sorted(i for i, _, _ in data)), (["-v"], [i for v, i in line if v is not None] + [i for v, i in line if v is None])):
+        got = {r.pct: (r.recnum, r.name) for r in physical.get_by_percent(df, percents, order=order, ranges=ranges).collect()}
+        want = [ordered[min(min(max(p, 0), 10000) * 157 // 10000, 156)] for p in asked if p is not None]
+        assert got == {p: (i, f"r{i}") for p, i in zip(asked, want)}
+    only = physical.get_by_percent(df.select("recnum"), percents.where("pct = 5000"), ranges=ranges)
+    assert [tuple(r) for r in only.collect()] == [(5000, 78)]
