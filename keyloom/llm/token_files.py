@@ -45,7 +45,8 @@ SKIP = 1024
 
 _HEAD = struct.Struct("<4sIIQQI")
 _MAGIC = b"KRP1"
-_BINS = 1 << 20
+_BIN_BITS = 20
+_BINS = 1 << _BIN_BITS
 _WORDS = 700_000
 _APART = 1000
 #: A word of Latin letters and then marks: the pre-tokenizer cuts it exactly there.
@@ -93,17 +94,20 @@ class WordEncoder:
             self.parts = {"": b""}
         parts, words = self.parts, list(met)
         heads = list(map(str.rstrip, words, repeat(_MARKS)))
-        tails = [w[len(h) :] for w, h in zip(words, heads)]
         # the vocabulary lowers letters itself; these have one lower form
-        heads = list(map(str.lower, heads))
-        new = list(set(heads).difference(parts))
+        low = list(map(str.lower, heads))
+        new = list(set(low).difference(parts))
         letters = list(compress(new, map(_LETTERS.fullmatch, new)))
         parts.update(zip(letters, self._encode_letters(letters)))
-        marks = list(set(tails).difference(parts))
+        found = list(map(parts.get, low))
+        marked = [(k, w[len(h) :]) for k, (w, h) in enumerate(zip(words, heads)) if w is not h]
+        marks = list({tail for _, tail in marked}.difference(parts))
         parts.update(zip(marks, self._encode(marks)))
-        found = list(map(parts.get, heads))
+        for k, tail in marked:
+            if found[k] is not None:
+                found[k] += parts[tail]
+        self.words.update(zip(words, found))
         other = [w for w, ids in zip(words, found) if ids is None]
-        self.words.update((w, ids + parts[tail]) for w, ids, tail in zip(words, found, tails) if ids is not None)
         self.words.update(zip(other, self._encode(other)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -120,17 +124,12 @@ class WordEncoder:
         if len(self.words) > 2 * _WORDS:
             self.words.clear()
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        found = [None if words is None else list(map(self.words.get, words)) for words in split]
-        new: set[str] = set()
-        for words, ids in zip(split, found):
-            if ids and None in ids:
-                new.update(compress(words, [x is None for x in ids]))
+        met: set[str] = set().union(*(words for words in split if words is not None))
+        new = met.difference(self.words)
         if new:
             self.learn(new)
-            for words, ids in zip(split, found):
-                if ids and None in ids:
-                    ids[:] = [self.words[w] if x is None else x for x, w in zip(ids, words)]
-        return [np.frombuffer(self._encode([t])[0] if ids is None else b"".join(ids), dtype="<u4") for t, ids in zip(texts, found)]
+        ids_of = self.words.__getitem__
+        return [np.frombuffer(self._encode([t])[0] if words is None else b"".join(map(ids_of, words)), dtype="<u4") for t, words in zip(texts, split)]
 
 
 @lru_cache(maxsize=2)
@@ -138,8 +137,9 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _bins(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+def _bins(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A bin of ``_BINS`` for every pair."""
+    return ((left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE3D) >> np.uint32(32 - _BIN_BITS)).astype(np.int64)
 
 
 def pair_rules(ids: np.ndarray, first_new: int, end_id: int = END_ID, share: float = ROUND_SHARE) -> tuple[np.ndarray, np.ndarray]:
@@ -148,21 +148,26 @@ def pair_rules(ids: np.ndarray, first_new: int, end_id: int = END_ID, share: flo
     most, width = ((1 << 16) - first_new, 2) if first_new < 1 << 16 else ((1 << 32) - first_new, 4)
     least = RULE_BYTES // width + 1
     while len(seq) > 1 and len(rules) < most:
-        keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        inside = (seq[:-1] != end_id) & (seq[1:] != end_id)
-        bins = _bins(keys)
-        heavy = np.bincount(bins[inside], minlength=_BINS) >= least
-        pairs, counts = np.unique(keys[inside & heavy[bins]], return_counts=True)
+        bins = _bins(seq[:-1], seq[1:])
+        # pairs with an end in them have a bin of their own
+        ends = np.flatnonzero(seq == end_id)
+        bins[ends[ends < len(bins)]] = bins[ends[ends > 0] - 1] = _BINS
+        heavy = np.bincount(bins, minlength=_BINS + 1) >= least
+        heavy[_BINS] = False
+        spots = np.flatnonzero(heavy[bins])
+        keys = (seq[spots].astype(np.uint64) << np.uint64(32)) | seq[spots + 1]
+        pairs, counts = np.unique(keys, return_counts=True)
         often = np.flatnonzero(counts >= max(least, share * counts.max(initial=0)))
         if not len(often):
             break
         often = often[np.lexsort((pairs[often], -counts[often]))[: most - len(rules)]]
         chosen = np.sort(pairs[often])
-        marked = np.zeros(_BINS, dtype=bool)
-        marked[_bins(chosen)] = True
-        at = np.flatnonzero(marked[bins] & inside)
-        rule = np.searchsorted(chosen, keys[at])
-        hit = chosen[np.minimum(rule, len(chosen) - 1)] == keys[at]
+        marked = np.zeros(_BINS + 1, dtype=bool)
+        marked[_bins((chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32))] = True
+        likely = marked[bins[spots]]
+        at, keys = spots[likely], keys[likely]
+        rule = np.searchsorted(chosen, keys)
+        hit = chosen[np.minimum(rule, len(chosen) - 1)] == keys
         at, rule = at[hit], rule[hit]
         # overlapping pairs are neighbours in ``at``: every other one of a run is taken
         opens = np.concatenate(([True], np.diff(at) > 1))
@@ -320,9 +325,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return _with_starts(_decoded(files), files).select("doc_id", "start", "n_tokens", "ids")
 
 
-def _decoded(files: DataFrame) -> DataFrame:
-    """Documents of all shards, with ``inner``: ids before a document within its shard."""
-    types = {"part": pa.int32(), "shard": pa.int32(), "doc_id": pa.int64(), "inner": pa.int64(), "n_tokens": pa.int64(), "ids": pa.binary()}
+def _decoded(files: DataFrame, digest: bool = False) -> DataFrame:
+    """Documents of all shards, with ``inner``: ids before a document within its shard.
+
+    With ``digest`` the ids themselves stay where they are decoded, and their ``ids_crc32`` goes on.
+    """
+    types = {"part": pa.int32(), "shard": pa.int32(), "doc_id": pa.int64(), "inner": pa.int64(), "n_tokens": pa.int64()}
+    types |= {"ids_crc32": pa.int64()} if digest else {"ids": pa.binary()}
+    schema = "part int, shard int, doc_id long, inner long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,10 +340,11 @@ def _decoded(files: DataFrame) -> DataFrame:
                 read = Shard(payload)
                 ids, n = read.ids(), len(read.doc_ids)
                 starts = read.ends - read.lengths
-                out = [[part] * n, [shard] * n, read.doc_ids, starts, read.lengths, [ids[a:b].tobytes() for a, b in zip(starts.tolist(), read.ends.tolist())]]
+                own = [ids[a:b] for a, b in zip(starts.tolist(), read.ends.tolist())]
+                out = [[part] * n, [shard] * n, read.doc_ids, starts, read.lengths, [crc_of(i) if digest else i.tobytes() for i in own]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, types.values())], names=list(types))
 
-    return in_batches(files.select("part", "shard", "payload"), run, "part int, shard int, doc_id long, inner long, n_tokens long, ids binary")
+    return in_batches(files.select("part", "shard", "payload"), run, schema)
 
 
 def _with_starts(decoded: DataFrame, files: DataFrame) -> DataFrame:
@@ -357,9 +368,8 @@ def token_file_rows(df: DataFrame, vocabulary: str, path: str | None = None) ->
     path = path or scratch_path(spark, "token-files")
     write_token_files(df, vocabulary, path)
     files = spark.read.parquet(path)
-    # the digest is taken before the join, which then moves no ids
-    digests = _decoded(files).select("part", "shard", "doc_id", "inner", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-    return _with_starts(digests, files).select("doc_id", "start", "n_tokens", "ids_crc32")
+    # the digest is taken where the ids are decoded, which then cross no border
+    return _with_starts(_decoded(files, digest=True), files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def crc_of(ids: np.ndarray) -> int:
