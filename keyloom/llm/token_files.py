@@ -64,9 +64,14 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        # words of lower-case letters need no normalising and no pattern, only their bytes as the vocabulary writes them
+        self.letters = Tokenizer(self.library.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.written = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         vocabulary = self.library.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.final = np.zeros(self.size, dtype=bool)
@@ -78,11 +83,14 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_letters(self, words: list[str]) -> list[bytes]:
-        """Words of letters only: one call for many, cut where the last piece of a word is."""
+        """Words of lower-case letters only: one call for many, cut where the last piece of a word is."""
         out: list[bytes] = []
         for at in range(0, len(words), _APART):
             some = words[at : at + _APART]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            line = " ".join(some)
+            if not line.isascii():
+                line = line.translate(self.written)
+            ids = np.array(self.letters.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
             raw = ids.tobytes()
             out += [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(some) else self._encode(some)
@@ -124,12 +132,17 @@ class WordEncoder:
         if len(self.words) > 2 * _WORDS:
             self.words.clear()
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        met: set[str] = set().union(*(words for words in split if words is not None))
-        new = met.difference(self.words)
+        found = [None if words is None else list(map(self.words.get, words)) for words in split]
+        new: set[str] = set()
+        for words, ids in zip(split, found):
+            if ids and None in ids:
+                new.update(compress(words, [x is None for x in ids]))
         if new:
             self.learn(new)
-        ids_of = self.words.__getitem__
-        return [np.frombuffer(self._encode([t])[0] if words is None else b"".join(map(ids_of, words)), dtype="<u4") for t, words in zip(texts, split)]
+            for words, ids in zip(split, found):
+                if ids and None in ids:
+                    ids[:] = [self.words[w] if x is None else x for x, w in zip(ids, words)]
+        return [np.frombuffer(self._encode([t])[0] if ids is None else b"".join(ids), dtype="<u4") for t, ids in zip(texts, found)]
 
 
 @lru_cache(maxsize=2)
