@@ -14,7 +14,7 @@ from keyloom.operators import catalog as C
 from keyloom.operators import drift as D
 from keyloom.sources import importer, layout_text, record_files as R, tables as T
 from keyloom.streaming.import_stream import import_stream
-from tests.conftest import rows
+from tests.conftest import DATA, rows
 
 
 def recs(n, size=24, seed=1):
@@ -308,3 +308,24 @@ def test_csv_keeps_carriage_returns(spark, tmp_path):
     reader = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').schema(df.schema)
     back = reader.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(str(tmp_path / "csv"))
     assert sorted((r.id, r.t) for r in back.collect()) == data
+
+
+def test_stream_batches_do_not_grow_with_files(spark, tmp_path, monkeypatch):
+    from suite import files, streams
+
+    monkeypatch.setattr(streams, "customer_files", lambda spark, sf, build: files.customer_files(spark, sf, build, 5))
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = rows(streams.import_stream(spark, DATA), "c_custkey")
+    assert got == rows(spark.read.parquet(f"{DATA}/customer.parquet"), "c_custkey")
+    loaded = [b for b in os.listdir(tmp_path / "stream-import") if b.startswith("batch=")]
+    assert 1 < len(loaded) <= streams.BATCHES < len(got) // 5 // 2
+
+
+def test_table_of_several_files(spark, monkeypatch):
+    from suite import files
+
+    mixed = files._mixed_folder
+    monkeypatch.setattr(files, "_mixed_folder", lambda spark, sf: mixed(spark, sf, 40))
+    counts = {t: spark.read.parquet(f"{DATA}/{t}.parquet").count() for t in ("customer", "orders", "part")}
+    assert counts["customer"] > 40 and counts["orders"] > 400 and counts["part"] > 40
+    assert rows(files.imported(spark, DATA), "table_name", "status", "records") == sorted((f"{t.upper()}_0", "ok", n) for t, n in counts.items())
