@@ -34,6 +34,12 @@ _TREE_BORDERS = 63
 _BUCKET = "__range"
 
 
+def by_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many partitions as its rows ask for, the session's number at least."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(max(width, math.ceil(df.count() / ROWS_PER_RANGE)), *keys)
+
+
 def _literal(value, dtype: T.DataType) -> str:
     """SQL text of one border value (timestamps are held as microseconds)."""
     name = dtype.simpleString()

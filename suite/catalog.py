@@ -6,13 +6,13 @@ catalog has as many tables as there are orders and grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from keyloom.operators import catalog as C
 from keyloom.operators import drift as D
 from keyloom.operators.joins import drift_join
-from keyloom.plans.lineage import cut
-from keyloom.plans.ordering import row_numbers
+from keyloom.plans.lineage import scratch_path
+from keyloom.plans.ordering import by_rows, row_numbers
 from suite.common import Suite, table
 
 S = Suite()
@@ -31,11 +31,19 @@ def _id(key: str):
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
-def lines(spark, sf):
+def lines(spark, sf, several: bool = True):
+    """Line items numbered within their order, which stands for a layout and so has few.
+
+    ``several`` frames made of them read them by the column from where they are written down.
+    """
     df = table(spark, sf, "lineitem").select(*LINE_KEY, "l_returnflag", "l_linestatus", "l_tax")
-    numbered = row_numbers(df, [(c, False) for c in LINE_KEY], "n", by=["l_orderkey"])
-    # several catalog frames are made of it
-    return cut(numbered.withColumn("n", F.col("n").cast("int")))
+    w = Window.partitionBy("l_orderkey").orderBy(*LINE_KEY[1:])
+    numbered = by_rows(df, "l_orderkey").withColumn("n", F.row_number().over(w))
+    if not several:
+        return numbered
+    path = scratch_path(spark, "lines")
+    numbered.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 NUM = f"row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_KEY[1:])})"
@@ -61,8 +69,8 @@ _EXPECTED_TYPE = """CASE native_type WHEN 0 THEN 'VARCHAR(20)' WHEN 1 THEN 'INT'
     WHEN 4 THEN 'TIME(0)' WHEN 5 THEN 'DECIMAL(18,0)' WHEN 6 THEN 'DECIMAL(18,4)' ELSE 'TINYINT' END"""
 
 
-def derived(spark, sf, ln=None) -> C.Catalog:
-    ln = ln or lines(spark, sf)
+def derived(spark, sf, ln=None, several: bool = True) -> C.Catalog:
+    ln = ln or lines(spark, sf, several)
     num = F.col("n")
     length = F.expr(_LENGTH.replace("num", "n"))
     fields = ln.select(
@@ -185,12 +193,12 @@ def summary(spark, sf):
     coalesce(f.n, 0) AS field_count FROM tables LEFT JOIN (SELECT table_name, count(*) AS n FROM fields GROUP BY 1) f USING (table_name)""",
 )
 def migration(spark, sf):
-    return C.migration_status(derived(spark, sf))
+    return C.migration_status(derived(spark, sf, several=False))
 
 
 @S.add("migration_summary", "SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS done, count(*) AS total FROM orders")
 def migration_total(spark, sf):
-    return C.migration_summary(derived(spark, sf))
+    return C.migration_summary(derived(spark, sf, several=False))
 
 
 def _marks(spark, sf):
@@ -208,7 +216,7 @@ def _marks(spark, sf):
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'tgt' END AS target_db FROM orders""",
 )
 def mark(spark, sf):
-    out = C.mark_migrated(derived(spark, sf).tables, _marks(spark, sf))
+    out = C.mark_migrated(derived(spark, sf, several=False).tables, _marks(spark, sf))
     return out.select("table_name", "migrated", "migrated_at", "row_count", "target_db")
 
 
@@ -218,13 +226,13 @@ def mark(spark, sf):
     CASE WHEN o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT' THEN o_custkey END AS row_count FROM orders""",
 )
 def clear(spark, sf):
-    out = C.clear_migrated(derived(spark, sf).tables, _marks(spark, sf))
+    out = C.clear_migrated(derived(spark, sf, several=False).tables, _marks(spark, sf))
     return out.select("table_name", "migrated", "row_count")
 
 
 @S.add("expected_columns", f"WITH {BASE} SELECT table_name, db_name, source_dir, name AS column_name, num, {_EXPECTED_TYPE} AS data_type FROM fields")
 def expected(spark, sf):
-    return D.expected_columns(derived(spark, sf))
+    return D.expected_columns(derived(spark, sf, several=False))
 
 
 @S.add(
@@ -238,7 +246,7 @@ def recnum(spark, sf):
         [("config", "RECNUM_COLUMN", "ROW_ID"), ("config", "RECNUM_COLUMN.DB1", "ROW_1"), ("config", "RECNUM_COLUMN.DB2", "")],
         "section string, key string, value string",
     )
-    return C.resolve_recnum(derived(spark, sf), config)
+    return C.resolve_recnum(derived(spark, sf, several=False), config)
 
 
 _CONFIG_SQL = """cfg AS (SELECT CASE WHEN c_custkey = 0 THEN 'config' ELSE 'S' || c_custkey END AS section, 'DATABASE' AS key,
@@ -279,7 +287,7 @@ def tables_of(spark, sf):
     o = table(spark, sf, "orders")
     tail = F.when(F.col("o_orderstatus") == "F", ".b.B").otherwise(".B")
     paths = o.select(F.concat(F.lit("G:\\s"), "o_custkey", F.lit("\\t"), F.col("o_orderkey") * 2, tail).alias("path"))
-    return C.resolve_tables(paths, derived(spark, sf), _config(spark, sf))
+    return C.resolve_tables(paths, derived(spark, sf, several=False), _config(spark, sf))
 
 
 @S.add(
@@ -503,5 +511,5 @@ def repaired(spark, sf):
 def created(spark, sf):
     path = lambda k: F.concat(F.lit("C:\\x\\New-T"), k, F.lit(".b"))
     tables = table(spark, sf, "orders").select(path("o_orderkey").alias("path"))
-    specs = lines(spark, sf).select(path("l_orderkey").alias("path"), F.col("n").alias("segment"), (F.col("n") * 2).alias("length"), (F.col("n") % 6).alias("type"))
+    specs = lines(spark, sf, several=False).select(path("l_orderkey").alias("path"), F.col("n").alias("segment"), (F.col("n") * 2).alias("length"), (F.col("n") % 6).alias("type"))
     return D.created_columns(specs, tables)
