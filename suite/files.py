@@ -127,7 +127,7 @@ def _layout_texts(spark, sf):
     """One layout text per order: its line items are the fields, its status picks the key blocks."""
     from suite.catalog import lines
 
-    ln = lines(spark, sf)
+    ln = lines(spark, sf, several=False)
     n = F.col("n").cast("string")
     block = F.concat(
         F.lit("FIELD_NUMBER "), n, F.lit("\nFIELD_NAME  Col"), n, F.lit("\nFIELD_NATIVE_TYPE "), (F.col("n") % 8).cast("string"),
@@ -146,9 +146,7 @@ def _layout_texts(spark, sf):
         "INDEX_NUMBER 1\nINDEX_NUMBER_SEGMENTS 3\nINDEX_SEGMENT_FIELD 1\nINDEX_SEGMENT_FLAG 19\nINDEX_SEGMENT_FIELD 2\n"
         "INDEX_SEGMENT_DIRECTION descending\nINDEX_SEGMENT_NULL_VALUE 32\nINDEX_SEGMENT_FLAG 3\nINDEX_SEGMENT_FIELD 0\nINDEX_SEGMENT_FLAG -1\n",
     ).otherwise("")
-    return o.select(F.concat(F.lit("/layouts/T"), "o_orderkey", F.lit(".int")).alias("file"), F.concat(head, F.coalesce("body", F.lit("")), keys).alias("value")).repartition(
-        spark.sparkContext.defaultParallelism, "file"
-    )
+    return o.select(F.concat(F.lit("/layouts/T"), "o_orderkey", F.lit(".int")).alias("file"), F.concat(head, F.coalesce("body", F.lit("")), keys).alias("value"))
 
 
 _LN = """ln AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS num FROM lineitem)"""

@@ -329,3 +329,34 @@ def test_table_of_several_files(spark, monkeypatch):
     counts = {t: spark.read.parquet(f"{DATA}/{t}.parquet").count() for t in ("customer", "orders", "part")}
     assert counts["customer"] > 40 and counts["orders"] > 400 and counts["part"] > 40
     assert rows(files.imported(spark, DATA), "table_name", "status", "records") == sorted((f"{t.upper()}_0", "ok", n) for t, n in counts.items())
+
+
+def test_marks_read_no_lines(spark, monkeypatch):
+    from suite import catalog
+
+    # nothing may be numbered or written down for a query that asks for the tables only
+    def refuse(*args, **kwargs):
+        raise AssertionError("written down")
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", refuse)
+    marked = catalog.mark(spark, DATA)
+    assert "lineitem" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert marked.count() == spark.read.parquet(f"{DATA}/orders.parquet").count()
+
+
+def test_layout_text_is_read_once(spark):
+    # odd key lines: other cases and blanks, the last of a key, keys without value, numbers that are none
+    text = (
+        "table_name  first\nTABLE_NAME\tODD \nSCHEMA_NAME\nDATABASE_SPACE_NAME DEPOT\nLOGICAL_RECORD_LENGTH 12x\nPRIMARY_INDEX 1.5\n"
+        "FIELD_NUMBER 1 2\nFIELD_NAME none\nFIELD_NUMBER +3\n  field_name A b \nFIELD_NATIVE_LENGTH 4\nFIELD_NATIVE_LENGTH 8\nFIELD_INDEX 2\n"
+        "FIELD_NUMBER 4\nFIELD_NAME C\nFIELD_INDEX 2\nFIELD_DEFAULT_VALUE\nINDEX_NUMBER 1\nINDEX_SEGMENT_FIELD 0\nINDEX_SEGMENT_FLAG 3\n"
+    )
+    catalog, skipped = layout_text.parse_layouts(spark.createDataFrame([("/d/odd.int", text.replace("\n", "\r\n")), ("/d/none.int", "x")], "file string, value string"))
+    assert [r.file for r in skipped.collect()] == ["/d/none.int"]
+    table = catalog.tables.first()
+    assert (table.table_name, table.schema_name, table.db_name, table.record_length, table.primary_index) == ("ODD", "", "DEPOT", 0, None)
+    assert rows(catalog.fields, "source_dir", "num", "name", "length", "field_index", "default_value") == [("/d", 3, "A b", 8, 2, None), ("/d", 4, "C", 0, 2, None)]
+    assert rows(catalog.keys, "num", "num_segments") == [(2, 2)]
+    assert rows(catalog.segments, "num", "segment", "field_num", "attrs") == [(2, 0, 3, 0), (2, 1, 4, 0)]
+    for df in catalog.frames().values():
+        assert "regexp_extract" not in df._jdf.queryExecution().executedPlan().toString()
