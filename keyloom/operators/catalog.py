@@ -498,13 +498,17 @@ def validate_layouts(catalog: Catalog, skipped: DataFrame | None = None, default
         leads.join(down, [leads[c].eqNullSafe(down[f"__d_{c}"]) for c in ID] + [leads["num"] == F.col("__dnum")], "left_semi"),
         "record number key is descending", F.col("num"),
     ))
-    t = tables.select(*[F.col(c).alias(f"__t_{c}") for c in ID], "record_length", "declared_fields")
-    placed = fields.join(t, [fields[c].eqNullSafe(t[f"__t_{c}"]) for c in ID])
-    parts.append(line(placed.where(F.col("offset") + F.col("length") > F.col("record_length")), "field ends past the record", F.col("name")))
-    counts = fields.groupBy(*[F.col(c).alias(f"__c_{c}") for c in ID]).agg(F.count(F.lit(1)).alias("__fields"))
-    counted = tables.join(counts, [tables[c].eqNullSafe(counts[f"__c_{c}"]) for c in ID], "left").withColumn("__fields", F.coalesce("__fields", F.lit(0)))
-    parts.append(line(counted.where((F.col("declared_fields") > 0) & (F.col("declared_fields") != F.col("__fields"))),
-                      "declared field count differs", F.col("__fields")))
+    # a layout's fields are few: they meet their table once, in one row
+    held = fields.groupBy(*[F.col(c).alias(f"__c_{c}") for c in ID]).agg(
+        F.count(F.lit(1)).alias("__fields"), F.collect_list(F.struct((F.col("offset") + F.col("length")).alias("end"), "name")).alias("__ends")
+    )
+    counted = tables.join(held, [tables[c].eqNullSafe(held[f"__c_{c}"]) for c in ID], "left").withColumn("__fields", F.coalesce("__fields", F.lit(0)))
+    found = lambda finding, detail: F.struct(F.lit(finding).alias("finding"), detail.cast("string").alias("detail"))
+    past = F.transform(
+        F.filter("__ends", lambda e: e["end"] > F.col("record_length")), lambda e: found("field ends past the record", e["name"])
+    )
+    differs = F.when((F.col("declared_fields") > 0) & (F.col("declared_fields") != F.col("__fields")), F.array(found("declared field count differs", F.col("__fields"))))
+    parts.append(counted.select(*ID, F.inline(F.concat(F.coalesce(past, F.array()), F.coalesce(differs, F.array())))))
     if skipped is not None:
         parts.append(skipped.select(F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("string").alias("db_name"),
                                     F.lit(None).cast("string").alias("source_dir"), F.lit("file does not parse").alias("finding"),
