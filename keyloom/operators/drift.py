@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from keyloom import layout as L
 from keyloom.operators.catalog import ID, Catalog
 from keyloom.operators.joins import drift_join
+from keyloom.plans.ordering import by_rows
 
 TARGETS = ("mssql", "postgres", "sqlite")
 
@@ -254,7 +255,7 @@ def created_columns(specs: DataFrame, tables: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("VARBINARY("), size, F.lit(")")))
     )
     w = Window.partitionBy("path").orderBy("segment")
-    given = specs.select("path", (F.row_number().over(w) - 1).alias("__i"), kind.alias("data_type"))
+    given = by_rows(specs, "path").select("path", (F.row_number().over(w) - 1).alias("__i"), kind.alias("data_type"))
     blank = tables.select("path").distinct().join(specs.select("path").distinct(), "path", "left_anti").select(
         "path", F.lit(0).alias("__i"), F.lit("VARCHAR(255)").alias("data_type")
     )

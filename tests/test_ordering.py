@@ -82,3 +82,14 @@ def test_ranges_without_rows(spark, skewed):
     cut = KeyRanges([("recnum", False)], (skewed.schema["recnum"].dataType,), ((-5,), (100,), (99999,)))
     got = row_numbers(skewed, [("recnum", False)], "n", ranges=cut)
     assert got.where("n != recnum + 1").count() == 0
+
+
+def test_partitions_follow_rows(spark, monkeypatch):
+    from keyloom.operators import drift as D
+    from keyloom.plans import ordering
+
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 10)
+    specs = spark.range(990).selectExpr("concat('t', id % 90) AS path", "int(id) AS segment", "2 AS length", "0 AS type")
+    columns = D.created_columns(specs, specs.select("path"))
+    assert "hashpartitioning(path" in (plan := columns._jdf.queryExecution().executedPlan().toString()) and ", 99)" in plan
+    assert columns.count() == 990 + 90
