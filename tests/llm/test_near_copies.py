@@ -98,3 +98,12 @@ def test_family_without_a_leader(spark):
     want, linked = brute(rows)
     docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], SCHEMA)
     assert {r.doc_id for r in near_copies.keep_one_of_each(docs).collect()} == want and len(want) < 5
+
+
+def test_pigeonring_joins_what_keys_miss(spark, monkeypatch):
+    # without bucket keys only the ring of fingerprint segments finds candidates, and the sets still decide
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(reversed(words))]
+    monkeypatch.setattr(near_copies, "keys", lambda hashes: hashes[:0].view("int64"))
+    docs = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in near_copies.keep_one_of_each(docs).collect()} == {0, 2}
