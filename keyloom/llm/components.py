@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from keyloom.plans.lineage import cut
 
+#: Edges of a partition, about: every task of a step writes files for each of its shuffles.
+EDGES = 50_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
@@ -30,12 +33,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Steps repeat until the edges are stars, about log n times; each is cut by a checkpoint, and
     the driver sees one count and one checksum a step.  Links to null and to itself are ignored.
+    Edges get no more in a step, and few of them take few partitions.
     """
     edges = links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
     edges = cut(edges.where("a IS NOT NULL AND b IS NOT NULL AND high <> low").distinct())
     before = _state(edges)
     while before[0]:
-        edges = cut(_small_star(_large_star(edges)).distinct())
+        few = -(-before[0] // EDGES)
+        large = _large_star(edges.coalesce(few)).coalesce(few)
+        edges = cut(_small_star(large).coalesce(few).distinct().coalesce(few))
         after = _state(edges)
         if after == before:
             break

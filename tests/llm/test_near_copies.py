@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
-from keyloom.llm import near_copies
+from keyloom.llm import components as components_of, near_copies
+from keyloom.plans import lineage
 from tests.conftest import DATA
 from tests.llm.test_operators import HARD, SCHEMA, plain_components
 
@@ -107,3 +108,37 @@ def test_pigeonring_joins_what_keys_miss(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "keys", lambda hashes: hashes[:0].view("int64"))
     docs = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in enumerate(texts)], SCHEMA)
     assert {r.doc_id for r in near_copies.keep_one_of_each(docs).collect()} == {0, 2}
+
+
+def test_hot_family_has_few_cells(spark):
+    """Texts sent to cells: many buckets of one family are not as many groups, and a joined component does not meet itself."""
+    rng = random.Random(9)
+    # apart: 1,500 texts, each in twelve of forty buckets of many sizes; joined: one component of 1,500 and three others
+    buckets = [(k, n, n) for n in range(1500) for k in rng.choices(range(40), [1 / (k + 1) for k in range(40)], k=12)]
+    joined = [(100 + k, n, min(n, 1500)) for n in range(1500) for k in range(4)] + [(100, n, n) for n in range(1500, 1503)]
+    for rows, most in ((buckets, 20_000), ([(k, n, 0 if n < 1500 else c) for k, n, c in joined], 4_000)):
+        rest = spark.createDataFrame(sorted(set(rows)), "key long, node long, component long")
+        sizes = rest.select("node").distinct().selectExpr("node", "100L AS size")
+        groups, cells = near_copies._cells(rest, sizes)
+        of = {r.node: r.group for r in groups.collect()}
+        met = {(r.x, r.y) for r in cells.collect()}
+        held = {g: sum(x == g for x in of.values()) for g in set(of.values())}
+        assert len(of) == len({n for _, n, _ in rows}) and sum(held[x] + held[y] * (x != y) for x, y in met) <= most
+        # every pair of a bucket that is apart has its cell
+        for _ in range(2000):
+            k, n, c = rng.choice(rows)
+            m, d = rng.choice([(m, d) for j, m, d in rows if j == k])
+            assert c == d or tuple(sorted((of[n], of[m]))) in met
+
+
+def test_few_edges_take_few_partitions(spark, monkeypatch):
+    """Steps over few edges write few files, and more edges are still many partitions."""
+    links = spark.range(0, 3000).selectExpr("id AS a", "id + 1 - (id % 100) % 7 AS b").repartition(40)
+    want = {n: c for n, c in plain_components(range(3001), [tuple(r) for r in links.collect()]).items()}
+    for edges, most in ((50_000, 1), (500, 6)):
+        monkeypatch.setattr(components_of, "EDGES", edges)
+        cuts = []
+        monkeypatch.setattr(components_of, "cut", lambda df: cuts.append(lineage.cut(df)) or cuts[-1])
+        found = {r.node: r.component for r in components_of.components(links).collect()}
+        assert found == {n: want[n] for n in found} and len(found) >= 2990
+        assert max(df.rdd.getNumPartitions() for df in cuts[1:]) <= most
