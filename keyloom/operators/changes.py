@@ -265,8 +265,8 @@ def truncate_report(requests: DataFrame, record_length: int) -> DataFrame:
 
 #: What patches of a record are ordered by, the later one on top.
 _PLACE = ["request", "chunk", "offset", "data"]
-#: Patch bytes that a map task lays over each other at once.
-_PATCH_BLOCK = 1 << 22
+#: Patch bytes and patches that a map task lays over each other at once; a byte takes some eighty in between.
+_PATCH_BLOCK, _PATCHES = 1 << 20, 1 << 17
 
 
 def _seen_runs(patches: DataFrame, recnum: str) -> DataFrame:
@@ -297,14 +297,15 @@ def _seen_runs(patches: DataFrame, recnum: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[pa.RecordBatch] = []
-        size = 0
+        size = count = 0
         for batch in batches:
             if batch.num_rows:
                 block.append(batch)
                 size += pc.sum(pc.binary_length(batch.column("data"))).as_py()
-            if size >= _PATCH_BLOCK:
+                count += batch.num_rows
+            if size >= _PATCH_BLOCK or count >= _PATCHES:
                 yield seen(pa.Table.from_batches(block))
-                block, size = [], 0
+                block, size, count = [], 0, 0
         if block:
             yield seen(pa.Table.from_batches(block))
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from fixtures import records
@@ -246,3 +247,35 @@ def test_patches_of_one_record_in_blocks(spark, monkeypatch, block):
         recs[recnum][offset : offset + len(data)] = data
     assert {r.recnum: bytes(r.rec) for r in out.collect()} == {i: bytes(r) for i, r in recs.items()}
     assert changes.update_chunks(state, spark.createDataFrame([], schema), 30)[0].count() == 4
+
+
+def test_many_short_patches_take_bounded_memory(spark):
+    """A task's arrays do not grow with the patches it gets, however short they are."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Captured:
+        schema = None
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    def batches():
+        for i in range(100):
+            n = np.arange(i * 10_000, (i + 1) * 10_000)
+            data = pa.array([b"ab"] * len(n), pa.binary())
+            columns = [pa.array(n % 5000), pa.array(n), pa.array(np.zeros(len(n), np.int32)), pa.array(n % 17), data]
+            yield pa.RecordBatch.from_arrays(columns, names=["recnum", "request", "chunk", "offset", "data"])
+
+    run = changes._seen_runs(Captured(), "recnum")
+    tracemalloc.start()
+    try:
+        runs = sum(b.num_rows for b in run(batches()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert runs > 0 and peak < 60 << 20
