@@ -19,6 +19,7 @@ are repeated.  The payload's layout, little-endian:
 
 from __future__ import annotations
 
+import codecs
 import gc
 import os
 import re
@@ -30,6 +31,7 @@ from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from keyloom.llm.common import gather, in_batches, texts_of
@@ -45,7 +47,8 @@ SKIP = 1024
 
 _HEAD = struct.Struct("<4sIIQQI")
 _MAGIC = b"KRP1"
-_BIN_BITS = 20
+#: Bins only leave out rare pairs; counts of so many stay in a core's cache.
+_BIN_BITS = 18
 _BINS = 1 << _BIN_BITS
 _WORDS = 700_000
 _APART = 1000
@@ -54,12 +57,15 @@ _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
 _MARKS = ".,;:!?%&*$#()|"
 #: White space for Python that the vocabulary's own pattern takes for a mark.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: All white space that Arrow does not cut at: the above, and white space beyond ASCII.
+_FAR_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class WordEncoder:
     """Ids of texts under a vocabulary that drops white space: every word is encoded by itself.
 
-    The library encodes each distinct word; a bounded table keeps them.
+    The library encodes each distinct word; a bounded table keeps them.  Arrow cuts the texts and
+    numbers the distinct words of a batch, so that Python meets a word once a batch.
     """
 
     def __init__(self, path: str):
@@ -71,7 +77,11 @@ class WordEncoder:
         self.letters = Tokenizer(self.library.model)
         self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.written = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        table = list(map(chr, range(256)))
+        for c in range(0xC0, 0x100):
+            for byte, char in zip(chr(c).encode(), as_bytes.pre_tokenize_str(chr(c))[0][0], strict=True):
+                table[byte] = char
+        self.written = "".join(table)
         vocabulary = self.library.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.final = np.zeros(self.size, dtype=bool)
@@ -89,18 +99,18 @@ class WordEncoder:
             some = words[at : at + _APART]
             line = " ".join(some)
             if not line.isascii():
-                line = line.translate(self.written)
+                line = codecs.charmap_decode(line.encode(), "strict", self.written)[0]
             ids = np.array(self.letters.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
             raw = ids.tobytes()
             out += [raw[i:j] for i, j in zip([0, *ends], ends)] if len(ends) == len(some) else self._encode(some)
         return out
 
-    def learn(self, met: set[str]) -> None:
-        """Put words into the table: letters and the marks behind them by themselves, any other word whole."""
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, which are put into the table: letters and the marks behind them by themselves, any other word whole."""
         if len(self.parts) > _WORDS:
             self.parts = {"": b""}
-        parts, words = self.parts, list(met)
+        parts = self.parts
         heads = list(map(str.rstrip, words, repeat(_MARKS)))
         # the vocabulary lowers letters itself; these have one lower form
         low = list(map(str.lower, heads))
@@ -114,9 +124,11 @@ class WordEncoder:
         for k, tail in marked:
             if found[k] is not None:
                 found[k] += parts[tail]
+        other = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(other, self._encode([words[k] for k in other])):
+            found[k] = ids
         self.words.update(zip(words, found))
-        other = [w for w, ids in zip(words, found) if ids is None]
-        self.words.update(zip(other, self._encode(other)))
+        return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         # many objects are made and none in cycles
@@ -131,18 +143,24 @@ class WordEncoder:
     def _encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words) > 2 * _WORDS:
             self.words.clear()
-        split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        found = [None if words is None else list(map(self.words.get, words)) for words in split]
-        new: set[str] = set()
-        for words, ids in zip(split, found):
-            if ids and None in ids:
-                new.update(compress(words, [x is None for x in ids]))
-        if new:
-            self.learn(new)
-            for words, ids in zip(split, found):
-                if ids and None in ids:
-                    ids[:] = [self.words[w] if x is None else x for x, w in zip(ids, words)]
-        return [np.frombuffer(self._encode([t])[0] if ids is None else b"".join(ids), dtype="<u4") for t, ids in zip(texts, found)]
+        far = list(map(_FAR_SPACE.search, texts))
+        whole = {k for k, t in enumerate(texts) if far[k] and _ODD_SPACE.search(t)}
+        plain = [" ".join(t.split()) if far[k] else t for k, t in enumerate(texts) if k not in whole]
+        split = pc.ascii_split_whitespace(pa.array(plain, pa.large_string()))
+        met = split.flatten().dictionary_encode()
+        # as objects of Arrow's making, which is many times faster than to_pylist
+        words = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.words.get, words))
+        new = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(new, self.learn([words[k] for k in new])):
+            ids[k] = x
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, codes = np.cumsum(lengths) - lengths, met.indices.to_numpy()
+        each = lengths[codes]
+        found = gather(np.frombuffer(b"".join(ids), dtype="<u4"), starts[codes], each)
+        ends = np.concatenate(([0], np.cumsum(each)))[split.offsets.to_numpy()].tolist()
+        cut = (found[i:j] for i, j in zip(ends, ends[1:]))
+        return [np.frombuffer(self._encode([t])[0], dtype="<u4") if k in whole else next(cut) for k, t in enumerate(texts)]
 
 
 @lru_cache(maxsize=2)
